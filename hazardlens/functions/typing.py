@@ -64,9 +64,11 @@ def cue_scores(text: Column, cues: dict[str, list[str]] | None = None) -> Column
     """
     cues = cues or LABEL_CUES
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([a-z]+)"), F.lit(1))
+    def hit_count(cue_words: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(cue_words)))
+
     hits = F.array(*[
-        F.struct(F.size(F.filter(words, lambda w, ws=ws: w.isin(ws))).alias("n"), F.lit(-i).alias("pref"),
-                 F.lit(label).alias("label"))
+        F.struct(hit_count(ws).alias("n"), F.lit(-i).alias("pref"), F.lit(label).alias("label"))
         for i, (label, ws) in enumerate(cues.items())
     ])
     total = F.aggregate(hits, F.lit(0), lambda acc, h: acc + h["n"])

@@ -13,19 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardlens.session import scratch_path
+
 SCORED_CHARS = 1500
 BatchScorer = Callable[[list[str]], tuple[list[str], list[float]]]
 
 
 def fit_text_classifier(labelled: DataFrame, text: str = "text", label: str = "label",
-                        buckets: int = 1 << 14, max_iter: int = 20) -> PipelineModel:
-    """Logistic regression on hashed term counts. ``label`` is numeric."""
-    return Pipeline(stages=[
+                        buckets: int = 1 << 14, max_iter: int = 20, path: str | None = None) -> PipelineModel:
+    """Logistic regression on hashed term counts, stored below ``path``. ``label`` is numeric.
+
+    The stored model is what is returned: a freshly fitted one carries its training summary, which holds
+    on to the session and cannot be sent to executors once the session has observed a metric.
+    """
+    model = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"\W+"),
         HashingTF(inputCol="__words", outputCol="__tf", numFeatures=buckets),
         LogisticRegression(featuresCol="__tf", labelCol=label, maxIter=max_iter, predictionCol="predicted",
                            probabilityCol="__prob", rawPredictionCol="__raw"),
     ]).fit(labelled.na.drop(subset=[text, label]))
+    path = path or scratch_path(labelled.sparkSession, "text-classifier")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def classify_with_model(df: DataFrame, model: PipelineModel) -> DataFrame:

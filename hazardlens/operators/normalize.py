@@ -14,15 +14,15 @@ def empty_canonical(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CANONICAL)
 
 
-def to_canonical(df: DataFrame, source: str | None, raw: Column | None = None, **columns: Column) -> DataFrame:
+def to_canonical(df: DataFrame, feed: str | None, /, raw: Column | None = None, **columns: Column) -> DataFrame:
     """Project to the canonical columns. Columns not given become typed nulls.
 
     ``raw`` is the original record (a struct); by default the whole input row is kept as provenance.
     """
     record = raw if raw is not None else F.struct(*df.columns)
     given = {**columns, "raw_json": F.to_json(record)}
-    if source is not None:
-        given["source"] = F.lit(source)
+    if feed is not None:
+        given["source"] = F.lit(feed)
     return df.select(*[
         given.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in CANONICAL.fields
     ])

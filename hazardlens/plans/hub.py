@@ -48,7 +48,7 @@ def flagged_events(enriched: DataFrame) -> DataFrame:
 def fill_defaults(flagged: DataFrame) -> DataFrame:
     defaults = {"severity": 0.0, "source": "unknown", "event_type": "unknown", "country_resolved": "UNK",
                 **{flag: 0 for flag in QUALITY_FLAGS}}
-    return flagged.na.drop(subset=["ts"]).na.fill(defaults)
+    return flagged.na.drop(subset=["ts"]).na.fill({c: v for c, v in defaults.items() if c in flagged.columns})
 
 
 def time_window(df: DataFrame, days: int, sources: list[str] | None = None,

@@ -27,9 +27,9 @@ typed AS (
   JOIN region r ON r.r_regionkey = n.n_regionkey),
 countries AS (SELECT lower(r_name) AS key, substr(r_name, 1, 2) AS code FROM region),
 cities AS (
-  SELECT lower(n_name) AS key, n_nationkey * 3.0 - 40.0 AS latitude, n_nationkey * 5.0 - 60.0 AS longitude,
+  SELECT lower(n_name) AS key, CAST(n_nationkey * 3.0 - 40.0 AS DOUBLE) AS latitude, CAST(n_nationkey * 5.0 - 60.0 AS DOUBLE) AS longitude,
          substr(n_name, 1, 2) AS countrycode FROM nation
-  UNION ALL SELECT 'manila', 14.6, 121.0, 'PH'),
+  UNION ALL SELECT 'manila', CAST(14.6 AS DOUBLE), CAST(121.0 AS DOUBLE), 'PH'),
 numbers AS (
   SELECT *, coalesce(text, title) AS scored,
          TRY_CAST(regexp_extract(substr(coalesce(text, title), 1, 3000), '(?i)\bM\s?(\d(?:\.\d)?)', 1) AS DOUBLE) AS mag,

@@ -31,15 +31,15 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("p13_document_filter", "SELECT event_id, event_type, country, severity FROM enriched WHERE event_type = 'click' "
-                              "AND country = 'FRANCE' AND severity >= CAST(0.3 AS FLOAT)")
+                              "AND country = 'NATION_3' AND severity >= CAST(0.3 AS FLOAT)")
 def _(i: Inputs) -> DataFrame:
-    return i.enriched.where(X.event_filter("click", "FRANCE", 0.3)).select(
+    return i.enriched.where(X.event_filter("click", "NATION_3", 0.3)).select(
         "event_id", "event_type", "country", "severity")
 
 
-@query("p14_keyword_filter", "SELECT year, country, term, count FROM keywords WHERE year = '2024' AND country = 'PERU'")
+@query("p14_keyword_filter", "SELECT year, country, term, count FROM keywords WHERE year = '2024' AND country = 'NATION_5'")
 def _(i: Inputs) -> DataFrame:
-    return X.keyword_filter(KW.keyword_frequency(KW.keyword_lines(i.enriched)), "2024", "PERU")
+    return X.keyword_filter(KW.keyword_frequency(KW.keyword_lines(i.enriched)), "2024", "NATION_5")
 
 
 @query("p22_confident_events", "SELECT event_id, source, event_type, title, round(CAST(classify_conf AS DOUBLE), 3) AS "
@@ -54,25 +54,25 @@ _REGION_SQL = (", region_date AS (SELECT coalesce(country, 'UNK') AS country, st
 
 
 @query("p23_region_months", _REGION_SQL + "SELECT event_time, event_id, event_type, severity, title FROM region_date "
-                                          "WHERE country = 'FRANCE' AND date_bucket IN ('2024-01', '2023-12', '2023-11')")
+                                          "WHERE country = 'NATION_3' AND date_bucket IN ('2024-01', '2023-12', '2023-11')")
 def _(i: Inputs) -> DataFrame:
     # Served from the stored table: both predicates prune folders.
     path = scratch_path(i.spark, "region-date")
     write_region_date(i.clustered, path)
-    rows = X.region_months(read_region_date(i.spark, path), "FRANCE", "2024-01-31", 3)
+    rows = X.region_months(read_region_date(i.spark, path), "NATION_3", "2024-01-31", 3)
     return rows.select("event_time", "event_id", "event_type", "severity", "title")
 
 
 @query("a31_month_type_counts", _REGION_SQL + "SELECT strftime(event_time, '%Y-%m') AS month, event_type, count(*) AS n "
-                                              "FROM region_date WHERE country = 'FRANCE' GROUP BY ALL")
+                                              "FROM region_date WHERE country = 'NATION_3' GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return X.month_type_counts(X.region_months(region_date_rows(i.clustered), "FRANCE", "2024-01-31", 24))
+    return X.month_type_counts(X.region_months(region_date_rows(i.clustered), "NATION_3", "2024-01-31", 24))
 
 
 @query("l04_newest_rows", _REGION_SQL + "SELECT event_time, event_id, event_type, severity, title FROM region_date WHERE "
-                                        "country = 'FRANCE' ORDER BY event_time DESC, event_id LIMIT 200")
+                                        "country = 'NATION_3' ORDER BY event_time DESC, event_id LIMIT 200")
 def _(i: Inputs) -> DataFrame:
-    rows = region_date_rows(i.clustered).where(F.col("country") == "FRANCE")
+    rows = region_date_rows(i.clustered).where(F.col("country") == "NATION_3")
     return X.newest_rows(rows).select("event_time", "event_id", "event_type", "severity", "title")
 
 
@@ -113,11 +113,11 @@ def _(i: Inputs) -> DataFrame:
     return compare_conditions(i.enriched, i.cluster_terms)[0]
 
 
-@query("j09_scalar_subquery", "SELECT event_id, round(classify_conf / (SELECT max(severity) FROM enriched), 6) AS "
+@query("j09_scalar_subquery", "SELECT event_id, round(CAST(classify_conf AS DOUBLE) / (SELECT CAST(max(severity) AS DOUBLE) FROM enriched), 6) AS "
                               "relative FROM enriched")
 def _(i: Inputs) -> DataFrame:
-    top = i.enriched.agg(F.max("severity")).scalar()
-    return rounded(i.enriched.select("event_id", (F.col("classify_conf") / top).alias("relative")), "relative")
+    top = i.enriched.agg(F.max("severity").cast("double")).scalar()
+    return rounded(i.enriched.select("event_id", (F.col("classify_conf").cast("double") / top).alias("relative")), "relative")
 
 
 @query("a30_source_share", "SELECT source, count(*) AS event_count, round(count(*) * 100.0 / (SELECT count(*) FROM "

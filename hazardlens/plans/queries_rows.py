@@ -224,10 +224,10 @@ def _(i: Inputs) -> DataFrame:
 CUES = {"casualty": ["killed"], "shelter": ["displaced", "nowhere"], "alarm": ["alert", "red"]}
 
 
-@query("x03_cue_classifier", """, hits AS (SELECT event_id, source, title,
-    len(list_filter(w, x -> x = 'killed')) AS a, len(list_filter(w, x -> x IN ('displaced', 'nowhere'))) AS b,
-    len(list_filter(w, x -> x IN ('alert', 'red'))) AS c FROM (SELECT event_id, source, title,
-      regexp_extract_all(lower(coalesce(text, title, '')), '([a-z]+)', 1) AS w FROM typed))
+@query("x03_cue_classifier", r""", hits AS (SELECT event_id, source,
+      len(regexp_extract_all(t, '\bkilled\b')) AS a, len(regexp_extract_all(t, '\b(displaced|nowhere)\b')) AS b,
+      len(regexp_extract_all(t, '\b(alert|red)\b')) AS c
+      FROM (SELECT event_id, source, lower(coalesce(text, title, '')) AS t FROM typed))
     SELECT event_id,
       CASE WHEN source = 'usgs' THEN 'earthquake' WHEN source IN ('eonet', 'gdacs') THEN 'other'
            WHEN a + b + c = 0 THEN 'other' WHEN a >= b AND a >= c THEN 'casualty' WHEN b >= c THEN 'shelter'
@@ -375,8 +375,8 @@ def _(i: Inputs) -> DataFrame:
     return LT.lead_time_summary(LT.delta_counts(i.enriched))
 
 
-@query("a35_lead_time_histogram", """SELECT event_type, bin, count(*) AS n, (bin - 1) * 96.0 - 2880.0
-    AS bin_start_minutes FROM (SELECT event_type,
+@query("a35_lead_time_histogram", """SELECT event_type, bin, count(*) AS n,
+    CAST((bin - 1) * 96.0 - 2880.0 AS DOUBLE) AS bin_start_minutes FROM (SELECT event_type,
       CAST(least(floor((delta_seconds / 60.0 + 2880.0) / 5760.0 * 60) + 1, 60) AS INTEGER) AS bin FROM pairs
       WHERE event_type IN (SELECT event_type FROM pairs GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 4))
     GROUP BY event_type, bin""")

@@ -35,5 +35,7 @@ def register_tables(spark: SparkSession, locations: dict[str, str], prefix: str
     for name, path in locations.items():
         full = f"{prefix}{name}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(full)):
+            spark.catalog.recoverPartitions(full)
         names.append(full)
     return names
