@@ -23,7 +23,8 @@ RED_SCORE, ORANGE_SCORE, DAMAGE_SCORE = 0.85, 0.55, 0.65
 
 
 def _number(text: str, pattern: str, dtype: str) -> str:
-    return f"try_cast(regexp_extract({text}, r'{pattern}', 1) AS {dtype})"
+    # No match gives '', which must not reach the cast: a failed number parse is a costly exception.
+    return f"try_cast(nullif(regexp_extract({text}, r'{pattern}', 1), '') AS {dtype})"
 
 
 def _tiers(value: str, tiers: list[tuple[int, float]]) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hazardlens.functions.severity import with_severity
 from hazardlens.functions.text import joined_text
 from hazardlens.functions.typing import cue_scores, rule_event_type
-from hazardlens.operators.places import resolve_places
+from hazardlens.operators.places import Gazetteer, resolve_places
 from hazardlens.schema import ENRICHED, FREE_TEXT_SOURCES
 
 
@@ -62,8 +62,8 @@ def fuse_locations(df: DataFrame, keep_raw: bool = False) -> DataFrame:
     return df.withColumns({**raw, **fused})
 
 
-def enrich(df: DataFrame, countries: DataFrame, cities: DataFrame, scorer: str = "skip",
-           text_mode: str = "first", keep_raw: bool = False, retype: bool = True) -> DataFrame:
+def enrich(df: DataFrame, gazetteer: Gazetteer, scorer: str = "skip", text_mode: str = "first",
+           keep_raw: bool = False, retype: bool = True) -> DataFrame:
     """Canonical rows plus type, confidence, severity and place.
 
     With ``retype=False`` the input already carries ``event_type`` and ``classify_conf``.
@@ -71,7 +71,7 @@ def enrich(df: DataFrame, countries: DataFrame, cities: DataFrame, scorer: str =
     typed = type_events(df, scorer, text_mode) if retype else df
     typed = typed.withColumn("__scored", scored_text(text_mode))
     scored = with_severity(typed, text="__scored")
-    placed = resolve_places(scored, countries, cities, F.col("__scored"), incomplete_location())
+    placed = resolve_places(scored, gazetteer, F.col("__scored"), incomplete_location())
     fused = fuse_locations(placed.drop("__scored"), keep_raw)
     extra = [c for c in fused.columns if c not in ENRICHED.names]
     return fused.select(*ENRICHED.names, *extra)

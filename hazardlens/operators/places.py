@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import PLACE_SCANNED_CHARS, capitalised_tokens
@@ -24,10 +27,50 @@ def build_countries(countries: DataFrame) -> DataFrame:
     return first_per_key(keyed, ["key"], [F.col("code")]).select("key", "code")
 
 
-def _bounded_names(gazetteer: DataFrame, limit: int) -> list[str] | None:
-    """All keys if there are at most ``limit``, else None. Never fetches more than ``limit`` + 1 rows."""
-    rows = gazetteer.select("key").limit(limit + 1).collect()
-    return None if len(rows) > limit else [r.key for r in rows]
+@dataclass(frozen=True)
+class Gazetteer:
+    """Country and city tables as the builders make them. The name lists are set only for a small
+    gazetteer, whose tables are then local relations."""
+
+    countries: DataFrame
+    cities: DataFrame
+    country_names: list[str] | None = None
+    city_names: list[str] | None = None
+
+    @property
+    def inline(self) -> bool:
+        return self.country_names is not None
+
+
+_COUNTRY_TYPE = pa.schema([("key", pa.string()), ("code", pa.string())])
+_CITY_TYPE = pa.schema([("key", pa.string()), ("latitude", pa.float64()), ("longitude", pa.float64()),
+                        ("countrycode", pa.string())])
+
+
+def fetch_small(countries: DataFrame, cities: DataFrame, limit: int = INLINE_NAMES) -> tuple[pa.Table, pa.Table] | None:
+    """Both tables as Arrow data if neither has more than ``limit`` rows, else None (one job, never more
+    than ``limit`` + 1 rows of each)."""
+    def part(df: DataFrame, kind: str, columns: list[str]) -> DataFrame:
+        return df.limit(limit + 1).select(F.lit(kind).alias("kind"), *[F.col(c) for c in columns])
+
+    rows = part(countries, "country", _COUNTRY_TYPE.names).unionByName(
+        part(cities, "city", _CITY_TYPE.names), allowMissingColumns=True).collect()
+    by_kind = {kind: [r.asDict() for r in rows if r.kind == kind] for kind in ("country", "city")}
+    if any(len(found) > limit for found in by_kind.values()):
+        return None
+    return (pa.Table.from_pylist(by_kind["country"], _COUNTRY_TYPE), pa.Table.from_pylist(by_kind["city"], _CITY_TYPE))
+
+
+def local_gazetteer(spark: SparkSession, small: tuple[pa.Table, pa.Table]) -> Gazetteer:
+    nations, towns = small
+    return Gazetteer(spark.createDataFrame(nations), spark.createDataFrame(towns),
+                     nations["key"].to_pylist(), towns["key"].to_pylist())
+
+
+def load_gazetteer(countries: DataFrame, cities: DataFrame, inline_limit: int = INLINE_NAMES) -> Gazetteer:
+    """Read a small gazetteer once for all lookups; a larger one stays a pair of distributed tables."""
+    small = fetch_small(countries, cities, inline_limit)
+    return local_gazetteer(countries.sparkSession, small) if small else Gazetteer(countries, cities)
 
 
 def _first_known(tokens: Column, names: list[str]) -> Column:
@@ -36,26 +79,22 @@ def _first_known(tokens: Column, names: list[str]) -> Column:
     return F.get(F.filter(tokens, lambda t: t.isin(names)), F.lit(0))
 
 
-def resolve_places(df: DataFrame, countries: DataFrame, cities: DataFrame, text: Column,
-                   needed: Column | None = None, inline_limit: int = INLINE_NAMES) -> DataFrame:
+def resolve_places(df: DataFrame, gazetteer: Gazetteer, text: Column, needed: Column | None = None) -> DataFrame:
     """Add ``geo_lat``, ``geo_lon``, ``geo_country``.
 
     The first capitalised token that names a country decides; only without one does the first city
-    count. ``countries`` and ``cities`` come from the builders above. A gazetteer of at most
-    ``inline_limit`` names (checked) is tested inside the row by a hash set and then joined by broadcast:
-    the events are not shuffled. A larger one is joined on exploded tokens.
+    count. A small gazetteer (size checked when loaded) is tested inside the row by a hash set and then
+    joined by broadcast: the events are not shuffled. A larger one is joined on exploded tokens.
     """
     wanted = F.when(needed, text) if needed is not None else text
-    nation_names = _bounded_names(countries, inline_limit)
-    town_names = _bounded_names(cities, inline_limit) if nation_names is not None else None
-    if town_names is None:
-        return _resolve_by_join(df, countries, cities, wanted)
+    if not gazetteer.inline:
+        return _resolve_by_join(df, gazetteer, wanted)
     keep = df.columns
     keyed = (df.withColumn("__tokens", F.transform(capitalised_tokens(wanted), F.lower))
-             .withColumns({"__nation": _first_known(F.col("__tokens"), nation_names),
-                           "__town": _first_known(F.col("__tokens"), town_names)}))
-    nations = countries.select(F.col("key").alias("__nation"), F.col("code").alias("__code"))
-    towns = cities.select(F.col("key").alias("__town"), "latitude", "longitude", "countrycode")
+             .withColumns({"__nation": _first_known(F.col("__tokens"), gazetteer.country_names),
+                           "__town": _first_known(F.col("__tokens"), gazetteer.city_names)}))
+    nations = gazetteer.countries.select(F.col("key").alias("__nation"), F.col("code").alias("__code"))
+    towns = gazetteer.cities.select(F.col("key").alias("__town"), "latitude", "longitude", "countrycode")
     located = (keyed.join(F.broadcast(nations), "__nation", "left")
                .join(F.broadcast(towns), "__town", "left"))
     by_town = F.col("__code").isNull()
@@ -92,8 +131,8 @@ def place_of_text(texts: DataFrame, countries: DataFrame, cities: DataFrame) ->
     )
 
 
-def _resolve_by_join(df: DataFrame, countries: DataFrame, cities: DataFrame, text: Column) -> DataFrame:
+def _resolve_by_join(df: DataFrame, gazetteer: Gazetteer, text: Column) -> DataFrame:
     keep = df.columns
     keyed = df.withColumn("place_text", F.substring(text, 1, PLACE_SCANNED_CHARS))  # all that is read
-    places = place_of_text(keyed, countries, cities)
+    places = place_of_text(keyed, gazetteer.countries, gazetteer.cities)
     return keyed.join(places, "place_text", "left").select(*keep, "geo_lat", "geo_lon", "geo_country")

@@ -118,29 +118,38 @@ def daily_by_source(base: DataFrame) -> DataFrame:
 
 
 def kpis(base: DataFrame, top_countries: int = 12) -> DataFrame:
-    """One row of headline figures.
+    """One row of headline figures from a single pass.
 
-    The events are reduced once to (day, source, type, country, severity) counts. Severity has at most
-    1001 distinct values, so everything else, the exact median included, runs on that small table.
+    Grouping sets count the events per day, source, type, country and severity at once. What is left is
+    as small as these dimensions together (severity has at most 1001 values), and every figure, the exact
+    median included, is read from it.
     """
-    cube = base.groupBy("day", "source", "event_type", "country_resolved", "severity").agg(_n())
-    known = F.when(F.col("country_resolved") != "UNK", F.col("country_resolved"))
-    flat = cube.agg(
-        F.sum("n").alias("events"),
-        F.count_distinct("day").alias("active_days"),
-        F.count_distinct("source").alias("sources"),
-        F.count_distinct(known).alias("countries"),
-        F.count_distinct("event_type").alias("event_types"),
+    dims = ["day", "source", "event_type", "country_resolved", "severity"]
+    sets = [[F.col(d)] for d in dims]
+    kind = F.concat_ws("", *[F.when(F.grouping(d) == 0, F.lit(d)) for d in dims])
+    counts = base.groupingSets(sets, *dims).agg(_n(), kind.alias("kind"))
+    by_size = Window.partitionBy("kind").orderBy(
+        F.when(F.col("country_resolved") == "UNK", 1).otherwise(0), F.col("n").desc(), "country_resolved")
+    counts = counts.withColumn("rank", F.row_number().over(by_size))
+    n, is_known = F.col("n"), F.col("country_resolved") != "UNK"
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("kind") == kind, value)
+
+    figures = counts.agg(
+        F.sum(of("day", n)).alias("events"),
+        F.count(of("day", n)).alias("active_days"),
+        F.max(of("day", n)).alias("peak_day_volume"),
+        F.count(of("source", n)).alias("sources"),
+        F.count(of("event_type", n)).alias("event_types"),
+        F.count(of("country_resolved", F.when(is_known, n))).alias("countries"),
+        F.sum(of("country_resolved", F.when(is_known & (F.col("rank") <= top_countries), n))).alias("leading"),
+        F.expr("percentile(severity, 0.5D, if(kind = 'severity', n, 0L))").alias("median_severity"),
     )
-    median = cube.agg(F.expr("percentile(severity, 0.5, n)")).scalar()
-    peak = cube.groupBy("day").agg(F.sum("n").alias("n")).agg(F.max("n")).scalar()
-    leading = (cube.where(F.col("country_resolved") != "UNK").groupBy("country_resolved")
-               .agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "country_resolved").limit(top_countries)
-               .agg(F.coalesce(F.sum("n"), F.lit(0))).scalar())
-    return flat.select(
+    return figures.select(
         "events", (F.col("events") / F.greatest(F.lit(1), "active_days")).alias("avg_per_day"),
-        peak.alias("peak_day_volume"), median.alias("median_severity"), "sources", "countries", "event_types",
-        (100.0 * leading / F.col("events")).alias("top_country_share_pct"))
+        "peak_day_volume", "median_severity", "sources", "countries", "event_types",
+        (100.0 * F.coalesce("leading", F.lit(0)) / F.col("events")).alias("top_country_share_pct"))
 
 
 def peak_day(base: DataFrame) -> DataFrame:
@@ -178,7 +187,8 @@ def weekday_hour_matrix(base: DataFrame) -> DataFrame:
     spark = base.sparkSession
     hours = list(range(24))
     counts = base.groupBy("weekday").pivot("hour", hours).count()
-    week = spark.createDataFrame([(d, i) for i, d in enumerate(WEEKDAYS)], "weekday string, weekday_no int")
+    rows = ", ".join(f"('{d}', {i})" for i, d in enumerate(WEEKDAYS))
+    week = spark.sql(f"SELECT * FROM VALUES {rows} AS week(weekday, weekday_no)")
     joined = week.join(counts, "weekday", "left").na.fill(0, [str(h) for h in hours])
     return joined.select("weekday_no", "weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.operators.enrich import enrich
-from hazardlens.operators.places import build_cities, build_countries
+from hazardlens.operators.places import Gazetteer, build_cities, build_countries, fetch_small, local_gazetteer
 from hazardlens.operators.themes import theme_documents, theme_tokens, token_counts, top_terms
 from hazardlens.plans.hub import hub_base
 from hazardlens.schema import FREE_TEXT_SOURCES
@@ -21,6 +21,7 @@ SOURCES = ["usgs", "eonet", "reliefweb", "gdacs", "gdelt", "social"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 STOP_WORDS = ["the", "and", "with", "des", "une", "der", "und"]
 CLUSTERS = 12
+_SMALL: dict[tuple[str, str], tuple | None] = {}
 
 
 def _choose(index: Column, values: list[str]) -> Column:
@@ -37,12 +38,18 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for row-wise work. One stored in a few splits only (at most 4, so at most 4 times
+        ``spark.sql.files.maxPartitionBytes``) is dealt out to all cores; larger ones are left alone."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() <= min(4, cores - 1) else df
+
     def events_as_canonical(self, events: DataFrame) -> DataFrame:
-        """Works on a batch or streaming ``events`` frame; nation and region are small fixed dimensions."""
+        """Works on a batch or streaming ``events`` frame. Nation and region have 25 and 5 rows at every scale."""
         nation = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
             "n_nationkey", "n_name", "r_name")
-        e = events.join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
+        e = events.join(F.broadcast(nation), F.col("user_id") % 25 == F.col("n_nationkey"))
         no, user = F.col("event_id"), F.col("user_id")
         value = F.floor("value").cast("long")
         killed = F.concat(value.cast("string"), F.lit(" killed near "), "r_name",
@@ -69,7 +76,7 @@ class Inputs:
     @cached_property
     def typed(self) -> DataFrame:
         """Canonical rows with a given type and confidence."""
-        return self.events_as_canonical(self.table("events"))
+        return self.events_as_canonical(self.spread("events"))
 
     @cached_property
     def canonical(self) -> DataFrame:
@@ -98,9 +105,18 @@ class Inputs:
     def cities(self) -> DataFrame:
         return build_cities(self.city_rows)
 
+    @cached_property
+    def gazetteer(self) -> Gazetteer:
+        """Read once per application and folder; falls back to the tables if it should ever grow large."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _SMALL:
+            _SMALL[key] = fetch_small(self.countries, self.cities)
+        small = _SMALL[key]
+        return local_gazetteer(self.spark, small) if small else Gazetteer(self.countries, self.cities)
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich(self.typed, self.countries, self.cities, retype=False)
+        return enrich(self.typed, self.gazetteer, retype=False)
 
     @cached_property
     def hub(self) -> DataFrame:
@@ -113,7 +129,7 @@ class Inputs:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return theme_documents(self.table("documents"), "text")
+        return theme_documents(self.spread("documents"), "text")
 
     @cached_property
     def document_tokens(self) -> DataFrame:

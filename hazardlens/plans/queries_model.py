@@ -111,7 +111,7 @@ def _(i: Inputs) -> DataFrame:
 @query("x03_trained_classifier")
 def _(i: Inputs) -> DataFrame:
     labels = i.table("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = i.table("documents").select("doc_id", "text")
+    docs = i.spread("documents").select("doc_id", "text")
     model = C.fit_text_classifier(docs.join(labels, "doc_id"))
     return C.classify_with_model(docs, model).select("doc_id", "predicted", "classify_conf")
 
@@ -126,5 +126,5 @@ def _(i: Inputs) -> DataFrame:
             return ["long" if len(t) > 500 else "short" for t in texts], [len(t) / 2048 for t in texts]
         return score
 
-    docs = i.table("documents").select("doc_id", "text")
+    docs = i.spread("documents").select("doc_id", "text")
     return C.classify_with_scorer(docs, load).drop("text")

@@ -82,14 +82,14 @@ def _(i: Inputs) -> DataFrame:
 @query("p06_conditional_geoparse",
        "SELECT event_id, geo_lat, geo_lon, geo_country FROM placed")
 def _(i: Inputs) -> DataFrame:
-    placed = PL.resolve_places(i.canonical, i.countries, i.cities, E.scored_text(), E.incomplete_location())
+    placed = PL.resolve_places(i.canonical, i.gazetteer, E.scored_text(), E.incomplete_location())
     return placed.select("event_id", "geo_lat", "geo_lon", "geo_country")
 
 
 @query("p07_struct_flatten",
        "SELECT event_id, geo_lat, geo_lon, geo_country, event_type, classify_conf FROM placed")
 def _(i: Inputs) -> DataFrame:
-    placed = PL.resolve_places(i.typed, i.countries, i.cities, E.scored_text(), E.incomplete_location())
+    placed = PL.resolve_places(i.typed, i.gazetteer, E.scored_text(), E.incomplete_location())
     nested = placed.select("event_id", F.struct("geo_lat", "geo_lon", "geo_country").alias("geo"),
                            F.struct("event_type", "classify_conf").alias("kind"))
     return nested.select("event_id", "geo.*", "kind.*")
@@ -99,7 +99,7 @@ def _(i: Inputs) -> DataFrame:
        "SELECT e.event_id, e.lat, e.lon, e.country, t.lat AS raw_lat, t.lon AS raw_lon, t.country AS raw_country "
        "FROM enriched e JOIN typed t USING (event_id)")
 def _(i: Inputs) -> DataFrame:
-    full = E.enrich(i.typed, i.countries, i.cities, retype=False, keep_raw=True)
+    full = E.enrich(i.typed, i.gazetteer, retype=False, keep_raw=True)
     return full.select("event_id", "lat", "lon", "country", "raw_lat", "raw_lon", "raw_country")
 
 
@@ -189,7 +189,7 @@ def _(i: Inputs) -> DataFrame:
 @query("p28_keyword_lines_documents",
        "SELECT doc_id, regexp_replace(text, '[\t\n\r]', ' ', 'g') AS text FROM documents")
 def _(i: Inputs) -> DataFrame:
-    return i.table("documents").select("doc_id", one_line(F.col("text")).alias("text"))
+    return i.spread("documents").select("doc_id", one_line(F.col("text")).alias("text"))
 
 
 # ---- rules and enrichment ----
@@ -206,7 +206,7 @@ def _(i: Inputs) -> DataFrame:
     regexp_matches(substr(text, 1, 3000),
       '(?i)\b(destroyed|devastated|collapsed|wiped out|catastrophic|massive damage)\b') AS hit FROM documents)""")
 def _(i: Inputs) -> DataFrame:
-    return with_severity(i.table("documents"), "text").select("doc_id", "severity")
+    return with_severity(i.spread("documents"), "text").select("doc_id", "severity")
 
 
 @query("x02_place_of_text",
@@ -297,9 +297,9 @@ def _(i: Inputs) -> DataFrame:
 
 @query("j04_gazetteer_lookup", "SELECT event_id, geo_lat, geo_lon, geo_country FROM placed")
 def _(i: Inputs) -> DataFrame:
-    # inline_limit 0: the form for gazetteers of any size
-    placed = PL.resolve_places(i.canonical, i.countries, i.cities, E.scored_text(), E.incomplete_location(),
-                               inline_limit=0)
+    # No name lists: the form for gazetteers of any size.
+    placed = PL.resolve_places(i.canonical, PL.Gazetteer(i.countries, i.cities), E.scored_text(),
+                               E.incomplete_location())
     return placed.select("event_id", "geo_lat", "geo_lon", "geo_country")
 
 
@@ -333,7 +333,7 @@ def _(i: Inputs) -> DataFrame:
     lexicon AS (SELECT term FROM words WHERE length(term) >= 4 GROUP BY term ORDER BY count(*) DESC, term LIMIT 40)
     SELECT doc_id, term FROM words WHERE term IN (SELECT term FROM lexicon)""".replace("\\\\", "\\"))
 def _(i: Inputs) -> DataFrame:
-    docs = i.table("documents")
+    docs = i.spread("documents")
     words = KW.distinct_words(docs).select("doc_id", F.explode("words").alias("term"))
     return words.join(F.broadcast(KW.top_words(docs, 40).select("term")), "term", "left_semi").select("doc_id", "term")
 
@@ -351,7 +351,7 @@ def _(i: Inputs) -> DataFrame:
     SELECT source, lang, term, CAST(count(*) AS INTEGER) AS count FROM words
     WHERE term IN (SELECT term FROM lexicon) GROUP BY source, lang, term""".replace("\\\\", "\\"))
 def _(i: Inputs) -> DataFrame:
-    docs = i.table("documents")
+    docs = i.spread("documents")
     return KW.keyword_frequency_by_table(docs, KW.top_words(docs, 40), keys=("source", "lang"))
 
 
@@ -359,7 +359,7 @@ def _(i: Inputs) -> DataFrame:
        "SELECT doc_id, CAST(len(list_distinct(regexp_extract_all(lower(text), '([a-zA-Z][a-zA-Z\\-]+)', 1))) AS INTEGER) "
        "AS n_words FROM documents")
 def _(i: Inputs) -> DataFrame:
-    return KW.distinct_words(i.table("documents")).select("doc_id", F.size("words").alias("n_words"))
+    return KW.distinct_words(i.spread("documents")).select("doc_id", F.size("words").alias("n_words"))
 
 
 # ---- lead-time aggregates ----
@@ -400,7 +400,7 @@ def _(i: Inputs) -> DataFrame:
        f"SELECT {CANONICAL_SQL} FROM typed UNION ALL SELECT 'doc-' || doc_id, source, NULL, text, NULL, NULL, "
        "TIMESTAMP '2024-01-01 00:00:00', lang FROM documents")
 def _(i: Inputs) -> DataFrame:
-    docs = i.table("documents")
+    docs = i.spread("documents")
     posts = N.to_canonical(
         docs, None, raw=F.struct("doc_id"), event_id=F.concat(F.lit("doc-"), F.col("doc_id").cast("string")),
         source=F.col("source"), text=F.col("text"), ts=F.to_timestamp(F.lit("2024-01-01 00:00:00")),

@@ -68,10 +68,9 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     # Stream-static lookup: the gazetteer is small (checked) and broadcast to every micro-batch.
     session, out, check = _stream_session(i), scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
-    static = Inputs(session, i.folder)
     stream = L.enrich_stream(_events_stream(session, i).select(*STREAM.names))
     missing = F.col("country").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
-    placed = resolve_places(stream, static.countries, static.cities, F.coalesce("text", "title"), missing)
+    placed = resolve_places(stream, Inputs(session, i.folder).gazetteer, F.coalesce("text", "title"), missing)
     chosen = placed.select("event_id", "geo_lat", "geo_lon", "geo_country", "severity")
     L.run_to_end(L.to_parquet(chosen, out, check, once=True))
     return _read(i, out)
