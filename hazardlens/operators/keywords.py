@@ -33,20 +33,22 @@ def keyword_frequency(lines: DataFrame, lexicon: list[str] | None = None,
     kept = lines
     for key in keys:
         kept = kept.where(F.col(key) != "")
-    hits = kept.select(*keys, F.explode(F.array_intersect(lexicon_words(F.col("text")), terms)).alias("term"))
+    found = F.array_intersect(lexicon_words(F.col("text")), terms)
+    # An inner explode would add a size test that evaluates the same expression a second time.
+    hits = kept.select(*keys, F.explode_outer(found).alias("term")).where(F.col("term").isNotNull())
     return hits.groupBy(*keys, "term").agg(F.count(F.lit(1)).cast("int").alias("count"))
 
 
 def keyword_frequency_by_table(lines: DataFrame, lexicon: DataFrame,
                                keys: tuple[str, ...] = ("year", "country")) -> DataFrame:
     """Same result with the lexicon as a table (column ``term``) of any size."""
-    words = distinct_words(lines).select(*keys, F.explode("words").alias("term"))
+    words = distinct_words(lines).select(*keys, F.explode_outer("words").alias("term"))
     hits = words.join(lexicon.select("term").distinct(), "term", "left_semi")
     return hits.groupBy(*keys, "term").agg(F.count(F.lit(1)).cast("int").alias("count"))
 
 
 def top_words(docs: DataFrame, n: int, text: str = "text", min_length: int = 4) -> DataFrame:
     """A corpus lexicon: the ``n`` words found in most documents."""
-    words = distinct_words(docs, text).select(F.explode("words").alias("term"))
+    words = distinct_words(docs, text).select(F.explode_outer("words").alias("term"))
     counted = words.where(F.length("term") >= min_length).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
     return counted.orderBy(F.col("n_docs").desc(), "term").limit(n)

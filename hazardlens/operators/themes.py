@@ -8,7 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardlens.functions.text import clean_document
+from hazardlens.functions.text import clean_document, joined_text
 
 K = 12
 HASH_BUCKETS = 1 << 14
@@ -21,9 +21,13 @@ class TooFewDocuments(ValueError):
 
 
 def theme_documents(df: DataFrame, *columns: str) -> DataFrame:
-    """Add ``doc``, the cleaned text of ``columns``; rows with at most 20 characters are left out."""
-    doc = clean_document(*[F.col(c) for c in (columns or ("title", "text"))])
-    return df.withColumn("doc", doc).where(F.length("doc") > MIN_DOC_CHARS)
+    """Add ``doc``, the cleaned text of ``columns``; rows with at most 20 characters are left out.
+
+    Cleaning replaces characters one for one, so the length is tested on the raw text: the test reaches
+    the scan without running the replacement twice.
+    """
+    parts = [F.col(c) for c in (columns or ("title", "text"))]
+    return df.where(F.length(joined_text(*parts)) > MIN_DOC_CHARS).withColumn("doc", clean_document(*parts))
 
 
 def fit_sample(docs: DataFrame, n: int, max_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
@@ -56,7 +60,7 @@ def assign_themes(docs: DataFrame, model: PipelineModel, keep_tokens: bool = Fal
 def theme_tokens(docs: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """``tokens`` as native expressions, equal to the Tokenizer and StopWordsRemover stages."""
     stop = stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english")
-    tokens = F.split(F.lower("doc"), r"\s")
+    tokens = F.split("doc", r"\s")  # doc is lower case already
     if stop:
         tokens = F.filter(tokens, lambda t: ~t.isin(stop))
     return docs.withColumn("tokens", tokens)
@@ -65,16 +69,22 @@ def theme_tokens(docs: DataFrame, stop_words: list[str] | None = None) -> DataFr
 def smoothed_idf(docs_with_tokens: DataFrame, doc_key: str) -> DataFrame:
     """Token-level ln((m + 1) / (df + 1)), the weight IDF gives a hash bucket holding one token."""
     m = docs_with_tokens.agg(F.count(F.lit(1))).scalar()
-    words = docs_with_tokens.select(doc_key, F.explode(F.array_distinct("tokens")).alias("token"))
-    df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    words = docs_with_tokens.select(doc_key, F.explode_outer(F.array_distinct("tokens")).alias("token"))
+    df = words.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     return df.withColumn("idf", F.log((m + 1) / (F.col("df") + 1)))
 
 
-def token_counts(clustered: DataFrame, min_length: int = 3) -> DataFrame:
-    """Occurrences per cluster and token of at least ``min_length`` characters."""
-    exploded = clustered.select("cluster_id", F.explode("tokens").alias("token"))
-    return (exploded.where(F.length("token") >= min_length)
-            .groupBy("cluster_id", "token").agg(F.count(F.lit(1)).alias("n")))
+def token_counts(clustered: DataFrame, min_length: int = 3, stop_words: list[str] | None = None) -> DataFrame:
+    """Occurrences per cluster and token of at least ``min_length`` characters.
+
+    Counts the ``tokens`` column; without one, ``doc`` is split here and ``stop_words`` are left out.
+    """
+    tokens = F.col("tokens") if "tokens" in clustered.columns else F.split("doc", r"\s")
+    exploded = clustered.select("cluster_id", F.explode_outer(tokens).alias("token"))
+    kept = exploded.where(F.length("token") >= min_length)
+    if stop_words:
+        kept = kept.where(~F.col("token").isin(stop_words))
+    return kept.groupBy("cluster_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _by_count() -> list[Column]:

@@ -131,14 +131,17 @@ class Inputs:
     def documents(self) -> DataFrame:
         return theme_documents(self.spread("documents"), "text")
 
+    @cached_property
+    def clustered_documents(self) -> DataFrame:
+        return self.documents.withColumn("cluster_id", (F.col("doc_id") % CLUSTERS).cast("int"))
+
     @cached_property
     def document_tokens(self) -> DataFrame:
-        docs = self.documents.withColumn("cluster_id", (F.col("doc_id") % CLUSTERS).cast("int"))
-        return theme_tokens(docs, STOP_WORDS)
+        return theme_tokens(self.clustered_documents, STOP_WORDS)
 
     @cached_property
     def token_counts(self) -> DataFrame:
-        return token_counts(self.document_tokens)
+        return token_counts(self.clustered_documents, stop_words=STOP_WORDS)
 
     @cached_property
     def cluster_terms(self) -> DataFrame:

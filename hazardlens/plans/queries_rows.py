@@ -17,7 +17,6 @@ from hazardlens.operators import places as PL
 from hazardlens.plans import hub as H
 from hazardlens.plans.inputs import Inputs
 from hazardlens.plans.registry import query, rounded
-from hazardlens.schema import LEAD_WINDOW_SECONDS
 from hazardlens.sinks.tables import new_rows, poll_statistics
 
 CANONICAL_SQL = "event_id, source, title, text, lat, lon, ts, country"
@@ -286,7 +285,7 @@ def _(i: Inputs) -> DataFrame:
     SELECT event_type, country, off_id, soc_id, delta_seconds FROM p
     WHERE 2 * 6371.0088 * asin(sqrt(pow(sin((a2 - a1) / 2), 2) + cos(a1) * cos(a2) * pow(sin((o2 - o1) / 2), 2))) <= 250""")
 def _(i: Inputs) -> DataFrame:
-    near = LT.within_distance(LT.lead_time_matches(i.enriched), i.enriched, 250.0)
+    near = LT.lead_time_matches(i.enriched, max_km=250.0)
     return near.select("event_type", "country", "off_id", "soc_id", "delta_seconds")
 
 
@@ -323,7 +322,7 @@ def _(i: Inputs) -> DataFrame:
        "(SELECT event_type FROM pairs GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 4)")
 def _(i: Inputs) -> DataFrame:
     matches = LT.lead_time_matches(i.enriched)
-    top = LT.busiest_types(LT.delta_counts(i.enriched))
+    top = LT.busiest_types(LT.delta_histogram(i.enriched))
     kept = matches.join(F.broadcast(top), "event_type", "left_semi")
     return kept.select("event_type", "off_id", "soc_id", (F.col("delta_seconds") / 60.0).alias("delta_minutes"))
 
@@ -334,7 +333,7 @@ def _(i: Inputs) -> DataFrame:
     SELECT doc_id, term FROM words WHERE term IN (SELECT term FROM lexicon)""".replace("\\\\", "\\"))
 def _(i: Inputs) -> DataFrame:
     docs = i.spread("documents")
-    words = KW.distinct_words(docs).select("doc_id", F.explode("words").alias("term"))
+    words = KW.distinct_words(docs).select("doc_id", F.explode_outer("words").alias("term"))
     return words.join(F.broadcast(KW.top_words(docs, 40).select("term")), "term", "left_semi").select("doc_id", "term")
 
 
@@ -381,12 +380,12 @@ def _(i: Inputs) -> DataFrame:
       WHERE event_type IN (SELECT event_type FROM pairs GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 4))
     GROUP BY event_type, bin""")
 def _(i: Inputs) -> DataFrame:
-    return LT.delta_histogram(LT.delta_counts(i.enriched))
+    return LT.delta_histogram(i.enriched)
 
 
 @query("lead_time_delta_counts", "SELECT event_type, delta_seconds, count(*) AS n FROM pairs GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return LT.delta_counts(i.enriched, LEAD_WINDOW_SECONDS)
+    return LT.delta_counts(i.enriched, hot_seconds=5)
 
 
 # ---- counts, unions and de-duplication ----

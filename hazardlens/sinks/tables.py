@@ -33,11 +33,14 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None, partition_
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] | None = None) -> None:
-    """One folder per source. ``files_per_source`` spreads a large source over that many writers."""
+def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] | None = None,
+                    default_files: int = 8) -> None:
+    """One folder per source. By default files are balanced by size, whatever a source holds;
+    ``files_per_source`` asks for a number of writers (others get up to ``default_files``)."""
     if not files_per_source:
         return write_parquet(df, path, partition_by=["source"])
-    fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()], F.lit(1))
+    fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()],
+                     F.lit(default_files))
     spread = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), fan))
     placed = spread.repartition("source", "__slice").drop("__slice")
     placed.write.mode("overwrite").partitionBy("source").parquet(path)
@@ -53,10 +56,10 @@ def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = No
     return stored
 
 
-def write_lines(df: DataFrame, path: str, files: int = 8, sep: str = "\t") -> None:
-    """All columns joined to one text line per row."""
-    df.select(F.concat_ws(sep, *[F.col(c) for c in df.columns]).alias("line")).coalesce(files).write.mode(
-        "overwrite").text(path)
+def write_lines(df: DataFrame, path: str, files: int | None = None, sep: str = "\t") -> None:
+    """All columns joined to one text line per row; ``files`` asks for a number of output files."""
+    lines = df.select(F.concat_ws(sep, *[F.col(c) for c in df.columns]).alias("line"))
+    (lines.repartition(files) if files else lines).write.mode("overwrite").text(path)
 
 
 def write_documents(df: DataFrame, path: str) -> None:
