@@ -64,8 +64,8 @@ def time_window(df: DataFrame, days: int, sources: list[str] | None = None,
 
 
 def _decimal(severity: Column) -> Column:
-    """The score as the three-decimal number it was rounded to, free of 32-bit widening (0.7, not 0.69999)."""
-    return F.round(severity.cast("double"), 3)
+    """The score as a decimal number, free of 32-bit widening (0.7, not 0.69999998)."""
+    return F.round(severity.cast("double"), 6)
 
 
 def severity_band(severity: Column) -> Column:

@@ -87,10 +87,10 @@ hub AS (
          greatest(has_raw_coords, has_geo_coords) AS has_any_geo,
          (has_raw_coords + has_geo_coords + has_country + has_geo_country + has_text + has_classify_conf) / 6.0
            AS completeness_score,
-         CASE WHEN round(CAST(severity AS DOUBLE), 3) <= 0.2 THEN 'very low'
-              WHEN round(CAST(severity AS DOUBLE), 3) <= 0.4 THEN 'low'
-              WHEN round(CAST(severity AS DOUBLE), 3) <= 0.6 THEN 'medium'
-              WHEN round(CAST(severity AS DOUBLE), 3) <= 0.8 THEN 'high' ELSE 'critical' END AS severity_band
+         CASE WHEN round(CAST(severity AS DOUBLE), 6) <= 0.2 THEN 'very low'
+              WHEN round(CAST(severity AS DOUBLE), 6) <= 0.4 THEN 'low'
+              WHEN round(CAST(severity AS DOUBLE), 6) <= 0.6 THEN 'medium'
+              WHEN round(CAST(severity AS DOUBLE), 6) <= 0.8 THEN 'high' ELSE 'critical' END AS severity_band
   FROM flagged
   WHERE ts >= date_trunc('day', (SELECT max(ts) FROM events)) - INTERVAL 179 DAY),
 known AS (SELECT * FROM hub WHERE country_resolved <> 'UNK'),

@@ -85,7 +85,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("a12_severity_histogram", """SELECT source,
-    CAST(least(floor(round(CAST(severity AS DOUBLE), 3) * 30) + 1, 30) AS INTEGER) AS bin, count(*) AS n
+    CAST(least(floor(round(CAST(severity AS DOUBLE), 6) * 30) + 1, 30) AS INTEGER) AS bin, count(*) AS n
     FROM hub GROUP BY ALL""")
 def _(i: Inputs) -> DataFrame:
     return H.severity_histogram(i.hub)

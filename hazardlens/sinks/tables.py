@@ -42,7 +42,8 @@ def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] |
     fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()],
                      F.lit(default_files))
     spread = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), fan))
-    placed = spread.repartition("source", "__slice").drop("__slice")
+    writers = sum(files_per_source.values()) + default_files
+    placed = spread.repartition(writers, "source", "__slice").drop("__slice")
     placed.write.mode("overwrite").partitionBy("source").parquet(path)
 
 
