@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,21 @@ def classify_with_model(df: DataFrame, model: PipelineModel) -> DataFrame:
         "__words", "__tf", "__prob", "__raw")
 
 
+def register_scorer(spark: SparkSession, load_scorer: Callable[[], BatchScorer], name: str = "classify_event") -> None:
+    """Make a batch scorer callable from SQL text as ``name(text) -> struct<event_type, classify_conf>``."""
+    limit = SCORED_CHARS
+
+    @F.pandas_udf("event_type string, classify_conf float")
+    def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = load_scorer()
+        for batch in batches:
+            texts = batch.fillna("").str.slice(0, limit).tolist()
+            labels, confidences = scorer(texts) if texts else ([], [])
+            yield pd.DataFrame({"event_type": labels, "classify_conf": pd.Series(confidences, dtype="float32")})
+
+    spark.udf.register(name, classify)
+
+
 def classify_with_scorer(df: DataFrame, load_scorer: Callable[[], BatchScorer], text: str = "text") -> DataFrame:
     """Run any batch scorer over Arrow batches and add ``event_type`` and ``classify_conf``.
 

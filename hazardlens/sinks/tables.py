@@ -109,8 +109,15 @@ def write_lead_time(matches: DataFrame, summary: DataFrame, matches_path: str, s
 
 
 def new_rows(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
-    """Incoming rows whose key is not stored yet; only the key column of the store is read."""
-    return incoming.join(store.select(key), key, "left_anti").select(*incoming.columns)
+    """Incoming rows whose key is not stored yet.
+
+    Only the key column of the store is read, and it is first reduced to the incoming keys: for the usual
+    small batch those keys are broadcast (by size), so a large store is filtered where it is read and
+    never shuffled.
+    """
+    wanted = incoming.select(key).distinct()
+    known = store.select(key).join(wanted, key, "left_semi")
+    return incoming.join(known, key, "left_anti").select(*incoming.columns)
 
 
 def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
@@ -124,12 +131,14 @@ def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id"
 def insert_only(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "event_id") -> dict[str, int]:
     """Append rows with new keys and leave stored rows untouched. Returns fetched and inserted counts.
 
-    Both counts are observed on the write itself, so the input is read once.
+    Both counts are observed on the write itself.
     """
     fetched, inserted = Observation("fetched"), Observation("inserted")
+    known = spark.read.parquet(store_path).select(key).join(incoming.select(key).distinct(), key, "left_semi")
     seen = incoming.observe(fetched, F.count(F.lit(1)).alias("n"))
     order = [F.col(c) for c in sorted(incoming.columns, key=lambda c: (c != "ts", c)) if c != key]
     first = first_per_key(seen, [key], order)
-    fresh = new_rows(first, spark.read.parquet(store_path), key).observe(inserted, F.count(F.lit(1)).alias("n"))
+    fresh = first.join(known, key, "left_anti").select(*incoming.columns).observe(
+        inserted, F.count(F.lit(1)).alias("n"))
     fresh.write.mode("append").parquet(store_path)
     return {"fetched": fetched.get["n"], "inserted": inserted.get["n"]}

@@ -12,7 +12,7 @@ from hazardlens.functions.severity import with_severity
 from hazardlens.functions.sqlfuncs import register_sql_functions
 from hazardlens.functions.typing import rule_event_type
 from hazardlens.operators import places as PL
-from hazardlens.operators.enrich import enrich, type_events
+from hazardlens.operators.enrich import enrich, normalise_country, type_events
 from hazardlens.schema import CANONICAL, CITIES, COUNTRIES, ENRICHED
 
 SEVERITY_CASES = {
@@ -143,6 +143,13 @@ def test_enrich_rows(spark):
     assert round(frame.where("event_id = '1'").first().severity, 3) == 0.4  # the title is no longer hidden
 
 
+def test_country_codes_can_be_unified(spark):
+    codes = spark.createDataFrame([("PHL", "PH"), ("RP", "PH")], "spelling string, code string")
+    events = spark.createDataFrame([("1", "PHL"), ("2", "RP"), ("3", "JP"), ("4", None)], "event_id string, country string")
+    got = {r.event_id: r.country for r in normalise_country(events, codes).collect()}
+    assert got == {"1": "PH", "2": "PH", "3": "JP", "4": None}
+
+
 def test_cue_scorer(spark):
     rows = [("a", "social", None, "flood flood quake"), ("b", "social", None, "nothing"), ("c", "usgs", None, "flood"),
             ("d", "gdelt", "lava and tsunami", None), ("e", "social", None, "firefighters")]

@@ -91,5 +91,7 @@ def test_trained_and_hooked_scorers(spark, planted):
     def load():
         return lambda texts: (["x" if "quake" in t else "y" for t in texts], [float(len(t)) for t in texts])
 
+    C.register_scorer(spark, load)
+    assert spark.sql("SELECT classify_event('quake').event_type AS t").first().t == "x"
     hooked = C.classify_with_scorer(spark.createDataFrame([("quake",), (None,), ("a" * 2000,)], "text string"), load)
     assert sorted((r.event_type, r.classify_conf) for r in hooked.collect()) == [("x", 5.0), ("y", 0.0), ("y", 1500.0)]
