@@ -108,16 +108,18 @@ def write_lead_time(matches: DataFrame, summary: DataFrame, matches_path: str, s
                   files=1)
 
 
-def new_rows(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
-    """Incoming rows whose key is not stored yet.
+def known_keys(incoming: DataFrame, store: DataFrame, key: str) -> DataFrame:
+    """Stored keys that occur in ``incoming``.
 
-    Only the key column of the store is read, and it is first reduced to the incoming keys: for the usual
-    small batch those keys are broadcast (by size), so a large store is filtered where it is read and
-    never shuffled.
+    Only the key column of the store is read. The keys of the usual small batch are broadcast (AQE decides
+    by size), so a large store is filtered where it is read and never shuffled.
     """
-    wanted = incoming.select(key).distinct()
-    known = store.select(key).join(wanted, key, "left_semi")
-    return incoming.join(known, key, "left_anti").select(*incoming.columns)
+    return store.select(key).join(incoming.select(key).distinct(), key, "left_semi")
+
+
+def new_rows(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
+    """Incoming rows whose key is not stored yet."""
+    return incoming.join(known_keys(incoming, store, key), key, "left_anti").select(*incoming.columns)
 
 
 def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
@@ -134,7 +136,7 @@ def insert_only(spark: SparkSession, incoming: DataFrame, store_path: str, key:
     Both counts are observed on the write itself.
     """
     fetched, inserted = Observation("fetched"), Observation("inserted")
-    known = spark.read.parquet(store_path).select(key).join(incoming.select(key).distinct(), key, "left_semi")
+    known = known_keys(incoming, spark.read.parquet(store_path), key)
     seen = incoming.observe(fetched, F.count(F.lit(1)).alias("n"))
     order = [F.col(c) for c in sorted(incoming.columns, key=lambda c: (c != "ts", c)) if c != key]
     first = first_per_key(seen, [key], order)
