@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardlens.session import shared_dir
@@ -61,3 +61,18 @@ def slices(sizes, limit: int) -> Iterator[tuple[int, int]]:
         held += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def ordered_index(df: DataFrame, *order: Column | str, name: str = "index") -> DataFrame:
+    """``df`` (checkpointed) with the place of each row in the global order, from 0 without gaps.
+
+    Rows are sorted by ranges, numbered inside their partition and shifted by the sizes of the partitions
+    before it; only one row per partition is summed in order."""
+    place, part = fresh(df.columns, "_place"), fresh(df.columns, "_part")
+    placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        place, F.monotonically_increasing_id()))
+    counts = placed.groupBy(F.shiftright(place, 33).alias(part)).count()
+    before = F.sum("count").over(Window.orderBy(part)) - F.col("count")
+    offsets = counts.select(part, before.alias("_before"))
+    return placed.withColumn(part, F.shiftright(place, 33)).join(F.broadcast(offsets), part).withColumn(
+        name, F.col("_before") + F.col(place).bitwiseAND((1 << 33) - 1)).drop(place, part, "_before")

@@ -6,14 +6,68 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardlens.llm import blocknames
+from hazardlens.llm import blocknames, mixing, packing
 from hazardlens.llm.common import table
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.plan_mix(table(spark, folder, "documents"))
+    return mix.plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return blocknames.exact_duplicates(table(spark, folder, "documents"))
 
 
+#: The mix of a table ``docs`` (doc_id, source, text) with the defaults of :mod:`hazardlens.llm.mixing`; gives
+#: ``mix`` (doc_id, size, source_size, target, taken).
+MIX_CTES = r"""
+sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                 md5('mix:0:' || coalesce(doc_id::VARCHAR, 'null')) AS mixed FROM docs),
+per_source AS (SELECT source, sum(size)::BIGINT AS s, count(*) AS n,
+                      row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no FROM sized GROUP BY source),
+weighed AS (SELECT *, source_no % 3 + 1 AS w, sum(s) OVER ()::BIGINT AS total, sum(n) OVER ()::BIGINT AS docs
+            FROM per_source),
+filling AS (SELECT *, sum(3 * s) OVER o AS held, sum(w) OVER () - sum(w) OVER o AS rest,
+                   lead(3 * s / w) OVER (ORDER BY 3 * s / w, source_no) AS next_full FROM weighed
+            WINDOW o AS (ORDER BY 3 * s / w, source_no ROWS UNBOUNDED PRECEDING)),
+shares AS (SELECT 0 AS j, total::BIGINT / sum(w)::DOUBLE AS share, min(3 * s / w) > total / sum(w) AS fits FROM weighed
+           GROUP BY total
+           UNION ALL
+           SELECT row_number() OVER (ORDER BY 3 * s / w, source_no), (total - held)::BIGINT / rest::DOUBLE,
+                  next_full > (total - held)::BIGINT / rest::DOUBLE
+           FROM filling WHERE rest > 0),
+share AS (SELECT arg_min(share, j) AS share FROM shares WHERE fits),
+aimed AS (SELECT *, least((3 * s)::DOUBLE, share * w) AS target FROM weighed, share),
+size_of AS (SELECT greatest(1, least(4096, (SELECT floor(min(target))::BIGINT // 256 FROM aimed WHERE target > 0)),
+                            ceil(max(total) / (8.0 * max(docs)))::BIGINT)::BIGINT AS block, max(total) AS total FROM aimed),
+awards AS (SELECT source_no, k, target / (2 * k + 1) AS quotient
+           FROM (SELECT source_no, target, unnest(generate_series(0, ceil(3 * s / block)::BIGINT - 1)) AS k
+                 FROM aimed, size_of)),
+won AS (SELECT source_no, count(*) AS quota FROM
+        (SELECT source_no, row_number() OVER (ORDER BY quotient DESC, source_no, k) AS place FROM awards), size_of
+        WHERE place <= floor(total / block + 0.5) GROUP BY source_no),
+rings AS (SELECT source, source_no, s, target, least(coalesce(quota, 0) * block, 3 * s) AS run,
+                 ('0x' || substr(md5('mix:0:source:' || source_no::VARCHAR), 1, 15))::BIGINT
+                 % greatest(1, s // block) * block AS start
+          FROM aimed LEFT JOIN won USING (source_no), size_of),
+placed AS (SELECT d.doc_id, d.size, r.s, r.target, r.run, d.source,
+                  (((sum(d.size) OVER (PARTITION BY d.source ORDER BY d.mixed, d.size ROWS UNBOUNDED PRECEDING)
+                     - d.size - r.start)::BIGINT % greatest(r.s, 1)) + greatest(r.s, 1)) % greatest(r.s, 1) AS first
+           FROM sized d JOIN rings r ON d.source IS NOT DISTINCT FROM r.source),
+mix AS (SELECT doc_id, size, s AS source_size, target,
+               (TURNS)::BIGINT AS taken FROM placed)
+""".replace("TURNS", " + ".join(f"greatest(0, least(run, first + s * {turn} + size) - greatest(0, first + s * {turn}))"
+                                for turn in (-1, 0, 1, 2, 3)))
+OP9_SQL = f"""
+WITH docs AS (SELECT doc_id, source, text FROM documents), {MIX_CTES}
+SELECT doc_id, size, source_size, target, taken FROM mix
+"""
+
 OP10_SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
@@ -24,8 +78,8 @@ FROM d JOIN g USING (t)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_block_naming,)}
+    return {f.__name__: f for f in (op5_best_fit_packing, op9_source_mixing, op10_block_naming)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op10_block_naming": OP10_SQL}
+    return {"op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL}
