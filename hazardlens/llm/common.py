@@ -54,13 +54,14 @@ def partitions_of(df: DataFrame) -> int:
 def slices(sizes, limit: int) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``limit`` bytes; one row at least, however long."""
     start = held = 0
+    i = -1
     for i, size in enumerate(sizes):
         if i > start and held + size > limit:
             yield start, i
             start, held = i, 0
         held += size
-    if start < len(sizes):
-        yield start, len(sizes)
+    if start <= i:
+        yield start, i + 1
 
 
 def ordered_index(df: DataFrame, *order: Column | str, name: str = "index") -> DataFrame:

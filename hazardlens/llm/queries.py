@@ -5,11 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hazardlens.llm import blocknames, mixing, packing
+from hazardlens.llm import blocknames, jaccard, langid, mixing, packing
 from hazardlens.llm.common import table
 
 
+def op2_language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = langid.remainder(F.col("doc_id"), 3) == 1
+    model = langid.learn(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similarity_classes(table(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
@@ -78,7 +90,7 @@ FROM d JOIN g USING (t)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_best_fit_packing, op9_source_mixing, op10_block_naming)}
+    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op5_best_fit_packing, op9_source_mixing, op10_block_naming)}
 
 
 def oracles() -> dict[str, str]:
