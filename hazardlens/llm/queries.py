@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hazardlens.llm import blocknames, jaccard, langid, mixing, packing
 from hazardlens.llm.common import table
 
@@ -90,8 +91,9 @@ FROM d JOIN g USING (t)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op5_best_fit_packing, op9_source_mixing, op10_block_naming)}
+    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op5_best_fit_packing, op9_source_mixing, op10_block_naming)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL}
+    known = {"op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in known.items() if sql}
