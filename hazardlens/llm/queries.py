@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hazardlens.llm import blocknames, jaccard, langid, mixing, packing
+from hazardlens.llm import blocknames, chat, hostrules, jaccard, langid, mixing, packing
 from hazardlens.llm.common import table
 
 
@@ -23,10 +23,30 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, folder, "documents"))
 
 
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = "'</s>[INST] ok [/INST]' AS text"
+    probe = spark.sql(f"SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, {said} "
+                      f"UNION ALL SELECT -1L, 1L, 'assistant', {said}")
+    turns = table(spark, folder, "conversations").select(*probe.columns).unionByName(probe)
+    formatted = chat.format_conversations(turns)
+    back = formatted.select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    said = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
 
+def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return hostrules.judge(table(spark, folder, "documents"), F.col("source")).drop("host_rate")
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, folder, "documents"))
     return mix.plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +56,52 @@ def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return blocknames.exact_duplicates(table(spark, folder, "documents"))
 
 
+OP4_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER w AS pos, role IS DISTINCT FROM lag(role) OVER w AS fresh,
+             length(regexp_replace(text, 'PATTERN', '\0+', 'g')) AS text_chars,
+             length(regexp_replace(role, 'PATTERN', '\0+', 'g')) AS role_chars
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+g AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos) AS said,
+             coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '') AS loss,
+             sum(text_chars + CASE WHEN fresh THEN role_chars + BLOCK ELSE NEXT END)::BIGINT AS formatted_chars
+      FROM o GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars FROM g
+""".replace("PATTERN", chat.ESCAPE_PATTERN).replace(
+    "BLOCK", str(len(chat.BEGIN + chat.BODY + chat.END))).replace("NEXT", str(len(chat.NEXT)))
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+windows AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 7], ' ') AS win
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS pos FROM d)),
+again AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows),
+rep AS (SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(generate_series(pos, pos + 7)) AS word FROM again WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT d.doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS failed FROM f GROUP BY source),
+s AS (SELECT sum(n)::DOUBLE AS total, count(*) AS k, sum(n::DOUBLE * n) AS squares,
+             least(greatest(sum(failed) / sum(n), 0.5 / sum(n)), 1 - 0.5 / sum(n)) AS mean FROM h),
+v AS (SELECT any_value(mean) AS mean, least(greatest(
+          (sum(n * power(failed / n - mean, 2)) / any_value(mean * (1 - mean)) - any_value(k - 1))
+          / any_value(total - squares / total - (k - 1)), 1e-3), 0.999) AS within FROM h, s),
+r AS (SELECT source, (failed + mean * (1 / within - 1)) / (n + (1 / within - 1)) AS rate FROM h, v)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate <= 0.5 AS kept
+FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
+"""
+
 #: The mix of a table ``docs`` (doc_id, source, text) with the defaults of :mod:`hazardlens.llm.mixing`; gives
 #: ``mix`` (doc_id, size, source_size, target, taken).
 MIX_CTES = r"""
@@ -91,9 +157,10 @@ FROM d JOIN g USING (t)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op5_best_fit_packing, op9_source_mixing, op10_block_naming)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules, op9_source_mixing, op10_block_naming)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    known = {"op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    known = {"op4_chat_format": OP4_SQL, "op6_host_rules": OP6_SQL, "op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL,
+             "pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: sql for name, sql in known.items() if sql}
