@@ -4,12 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hazardlens.llm import blocknames, chat, hostrules, jaccard, langid, mixing, packing
+from hazardlens.llm import blocknames, chat, hostrules, jaccard, langid, mixing, packing, secretscan, shards, toxicity
 from hazardlens.llm.common import table
+from hazardlens.session import scratch_path
+
+
+def _count_kind(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secretscan.scan(docs, secretscan.learn(docs))
+    named = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    base = F.filter("spans", lambda s: s.kind != "random")
+    return found.select(
+        "doc_id", _count_kind("assign"), _count_kind("access"), _count_kind("hex"),
+        F.sha2(named(base), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"),
+        _count_kind("random"))
 
 
 def op2_language_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,6 +64,20 @@ def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return hostrules.judge(table(spark, folder, "documents"), F.col("source")).drop("host_rate")
 
 
+def op7_training_shards(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    shards.write_shards(table(spark, folder, "documents"), path)
+    return shards.read_shards(spark, path)
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = langid.remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.learn(docs.where(~held_out), labels)
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, folder, "documents"))
     return mix.plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -157,7 +188,9 @@ FROM d JOIN g USING (t)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules, op9_source_mixing, op10_block_naming)} | {"pipeline": corpus_pipeline.run}
+    known = (op1_secret_scan, op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules,
+             op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming)
+    return {f.__name__: f for f in known} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
