@@ -19,8 +19,8 @@ from hazardlens.llm.common import slices
 
 END_OF_DOCUMENT = 1
 #: Words and letter runs that one worker remembers.
-CACHE_WORDS = 600_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 1_000_000
+SLICE_BYTES = 12 << 20
 
 #: Fixed value: how the tokenizer file splits a word into pieces.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -63,24 +63,29 @@ class WordTokens:
             self.pieces[piece] = found
         return found
 
-    def word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if _PLAIN.fullmatch(word) and "<|" not in word:
-                found = b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
-            else:
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = found
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            found = b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.words) >= CACHE_WORDS:
+            self.words.clear()
+        self.words[word] = found
         return found
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        known = list(map(self.words.get, words))
+        for i, found in enumerate(known):
+            if found is None:
+                known[i] = self._word(words[i])
+        return known
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` (no nulls) end to end, and where each text begins (one more than texts)."""
         split = pc.ascii_split_whitespace(texts)
         begins = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        known = [self.word(w) for w in coded.dictionary.to_pylist()]
+        known = self.of_words(coded.dictionary.to_pylist())
         which = coded.indices.to_numpy(zero_copy_only=False)
         lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
         sources = np.concatenate([[0], np.cumsum(lengths)])
