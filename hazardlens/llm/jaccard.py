@@ -4,12 +4,12 @@
    its words. Documents with the same words are copies; one of them stands for all.
 2. Candidates share a band. Four values a band, 32 bands: a pair of similarity 0.8 is missed once in 10^7.
 3. Every member of a bucket is compared with the bucket's first one: MinHash values are compared step by step, and
-   a pair goes when the posterior probability that it reaches the threshold falls below ``tolerance``; the others
-   are verified on their whole shingle sets. These star links give groups without listing pairs.
-4. In buckets that still hold several groups, blocks of members are compared inside tasks by the same pruning; what
-   comes out is (document, other group), not pairs.
-5. Each document is verified exactly against its own group and the groups of step 4, in blocks. Only its number of
-   links in a block comes out. Groups that turn out linked are joined.
+   a pair goes when the posterior probability that it reaches the threshold falls below ``tolerance``. What is left
+   joins documents to families.
+4. In buckets that still hold several families, blocks of members are compared inside tasks by the same pruning, and
+   families that may be linked become one. A task tells only what joins families, so it never lists the pairs.
+5. Each document is verified exactly against its whole family, in blocks. What comes out is its number of links in a
+   block and one link for each part of the block that it connects; those links give the classes.
 
 So no pair list of a group is ever written, all links between different texts count, and no bucket is capped. Large
 buckets and groups are cut into blocks that go to different tasks.
@@ -129,22 +129,6 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
                                               pa.binary())], names=["row_id", "items"])
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-
-
-def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept = []
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            both = _common(a, b)
-            kept.append(both >= threshold * (len(a) + len(b) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, bool]]:
     """Parts of sorted batches that have equal keys, and whether a part begins a new key."""
     last = None
@@ -170,30 +154,52 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+class _Families:
+    """Families joined so far in a task."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        top = x
+        while (up := self.parent.get(top, top)) != top:
+            top = up
+        while x != top:
+            self.parent[x], x = top, self.parent.get(x, x)
+        return top
+
+
 def _bridges(batches: Iterator[pa.RecordBatch], threshold: float, tolerance: float) -> Iterator[pa.RecordBatch]:
-    """Documents of one block and groups of the other that may be linked, both ways."""
-    out: set[tuple[int, int]] = set()
+    """Pairs of families that may be linked; what follows from earlier pairs is left out."""
+    families, out = _Families(), []
 
     def flush() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
-                                           pa.array([c for _, c in out], pa.int64())], names=["row_id", "comp"])
+        rows = pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.int64()),
+                                           "b": pa.array([b for _, b in out], pa.int64())})
         out.clear()
         return rows
 
     for group in _groups(batches, ["bucket", "lo", "hi"]):
         mins = _matrix(group.column("mins").combine_chunks())
-        rows, comps, blocks = (group.column(c).to_numpy() for c in ("row_id", "comp", "block"))
+        blocks = group.column("block").to_numpy()
         lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        left, right = np.flatnonzero(blocks == lo), np.flatnonzero(blocks == hi)
-        for i in left:
-            others = right[comps[right] != comps[i]]
+        roots = np.array([families.root(x) for x in group.column("comp").to_pylist()])
+        right = np.flatnonzero(blocks == hi)
+        for i in np.flatnonzero(blocks == lo):
+            others = right[roots[right] != roots[i]]
             if lo == hi:
                 others = others[others > i]
-            for j in others[survivors(np.broadcast_to(mins[i], (len(others), HASHES)), mins[others], threshold, tolerance)]:
-                out.add((int(rows[i]), int(comps[j])))
-                out.add((int(rows[j]), int(comps[i])))
-        if len(out) > 20_000:
+            if not len(others):
+                continue
+            near = survivors(np.broadcast_to(mins[i], (len(others), HASHES)), mins[others], threshold, tolerance)
+            for other in np.unique(roots[others[near]]).tolist():
+                own = int(roots[i])
+                out.append((own, other))
+                families.parent[max(own, other)] = min(own, other)
+                roots[(roots == own) | (roots == other)] = min(own, other)
+        if len(out) > 20_000 or len(families.parent) > 200_000:
             yield flush()
+            families.parent.clear()
     yield flush()
 
 
@@ -208,12 +214,20 @@ class _Block:
         order = np.argsort(items, kind="stable")
         self.items, self.owner = items[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
 
-    def links(self, row: int, items: np.ndarray, threshold: float) -> int:
+        self.parts = np.arange(len(sets))
+
+    def links(self, row: int, items: np.ndarray, threshold: float) -> tuple[int, list[int]]:
+        """Linked documents (copies count), and one linked row for each part of the block that this connects."""
         first, last = np.searchsorted(self.items, items), np.searchsorted(self.items, items, side="right")
         spread = np.repeat(first - np.concatenate([[0], np.cumsum(last - first)[:-1]]), last - first)
         both = np.bincount(self.owner[spread + np.arange(len(spread))], minlength=len(self.sizes))
-        linked = (both >= threshold * (len(items) + self.sizes - both)) & (self.rows != row)
-        return int(self.copies[linked].sum())
+        linked = np.flatnonzero((both >= threshold * (len(items) + self.sizes - both)) & (self.rows != row))
+        if not len(linked):
+            return 0, []
+        parts, at = np.unique(self.parts[linked], return_index=True)
+        if len(parts) > 1:
+            self.parts[np.isin(self.parts, parts)] = parts[0]
+        return int(self.copies[linked].sum()), self.rows[linked[at]].tolist()
 
 
 def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -226,11 +240,15 @@ def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         if (guest == 0).any():
             hosts.append(_Block(part.filter(pa.array(guest == 0))))
         coming = part.filter(pa.array(guest == 1))
-        rows = coming.column("row_id").to_pylist()
-        counts = [sum(h.links(row, np.frombuffer(items, np.uint64), threshold) for h in hosts)
-                  for row, items in zip(rows, coming.column("items").to_pylist())]
-        yield pa.RecordBatch.from_arrays([coming.column("row_id"), coming.column("comp"), pa.array(counts, pa.int64())],
-                                         names=["row_id", "comp", "links"])
+        rows, counts, others = [], [], []
+        for row, items in zip(coming.column("row_id").to_pylist(), coming.column("items").to_pylist()):
+            for block in hosts:
+                count, linked = block.links(row, np.frombuffer(items, np.uint64), threshold)
+                rows += [row] * len(linked)
+                counts += [count, *[0] * (len(linked) - 1)] if linked else []
+                others += linked
+        yield pa.RecordBatch.from_pydict({"row_id": pa.array(rows, pa.int64()), "other": pa.array(others, pa.int64()),
+                                          "links": pa.array(counts, pa.int64())})
 
 
 def _spread(key: Column, parts: Column, salt: int) -> Column:
@@ -263,20 +281,16 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     likely = checkpointed(
         stars.join(mins.toDF("a", "left"), "a").join(mins.toDF("b", "right"), "b").select("a", "b", "left", "right")
         .mapInArrow(partial(_prune, threshold=threshold, tolerance=tolerance), "a long, b long"))
-    wanted = members.select("row_id").distinct()
-    sets = checkpointed(source.select("row_id", "text").join(wanted, "row_id", "left_semi").mapInArrow(
-        partial(_sets, size=shingle_words), "row_id long, items binary"))
-    links = likely.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select(
-        "a", "b", "left", "right").mapInArrow(partial(_verify, threshold=threshold), "a long, b long")
-    grouped = components(links)
-    in_group = checkpointed(wanted.join(grouped.withColumnRenamed("id", "row_id"), "row_id", "left").select(
+    grouped = components(likely)
+    in_family = checkpointed(members.select("row_id").distinct().join(
+        grouped.withColumnRenamed("id", "row_id"), "row_id", "left").select(
         "row_id", F.coalesce("comp", "row_id").alias("comp")))
 
-    # Buckets with several groups: every member outside the largest group meets all members, in blocks.
-    placed = members.select("bucket", "row_id").join(in_group, "row_id")
+    # Buckets with several families: every member outside the largest one meets all members, in blocks.
+    placed = members.select("bucket", "row_id").join(in_family, "row_id")
     parts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     several = parts.groupBy("bucket").agg(
-        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("families")).where("families > 1")
     blocks = several.select(
         "bucket", F.col("top.comp").alias("top"), F.ceil(F.col("top.n") / BLOCK_ROWS).cast("int").alias("large"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK_ROWS).cast("int").alias("small"))
@@ -288,32 +302,32 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("large") + F.col("small") - 1))).select(
         "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "row_id", "comp")
     bridges = _in_order(meeting.join(mins, "row_id"), ["bucket", "lo", "hi"]).select(
-        "bucket", "lo", "hi", "block", "row_id", "comp", "mins").mapInArrow(
-        partial(_bridges, threshold=threshold, tolerance=tolerance), "row_id long, comp long").distinct()
-
-    # Every document against its own group and the groups it may be linked to.
-    sizes = in_group.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
-    visits = checkpointed(in_group.join(sizes.where("n > 1").select("comp"), "comp").select("row_id", "comp").union(
-        bridges.select("row_id", "comp")))
-    visited = visits.groupBy("comp").agg(F.count(F.lit(1)).alias("visits")).join(sizes, "comp").select(
-        "comp", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
-        F.ceil(F.col("visits") / GUEST_ROWS).cast("int").alias("parts"))
-    guests = visits.join(visited, "comp").withColumn("part", _spread(F.col("row_id"), F.col("parts"), 2)).select(
+        "bucket", "lo", "hi", "block", "comp", "mins").mapInArrow(
+        partial(_bridges, threshold=threshold, tolerance=tolerance), "a long, b long")
+    united = components(bridges).select(F.col("id").alias("comp"), F.col("comp").alias("low"))
+    sizes_of = lambda df: df.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    families = in_family.join(united, "comp", "left").select("row_id", F.coalesce("low", "comp").alias("comp"))
+    families = checkpointed(families.join(sizes_of(families).where("n > 1"), "comp"))
+
+    # Every document against its own family, exactly.
+    sets = checkpointed(source.select("row_id", "text").join(families.select("row_id"), "row_id", "left_semi").mapInArrow(
+        partial(_sets, size=shingle_words), "row_id long, items binary"))
+    cut = families.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn(
+        "parts", F.ceil(F.col("n") / GUEST_ROWS).cast("int"))
+    guests = cut.withColumn("part", _spread(F.col("row_id"), F.col("parts"), 2)).select(
         "row_id", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "part",
         F.lit(1).alias("guest"))
-    hosts = in_group.join(visited, "comp").withColumn("block", _spread(F.col("row_id"), F.col("blocks"), 3)).select(
+    hosts = cut.withColumn("block", _spread(F.col("row_id"), F.col("blocks"), 3)).select(
         "row_id", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(0).alias("guest"))
-    copies = firsts.select("row_id", "copies")
-    tasks = _in_order(guests.unionByName(hosts).join(sets.join(copies, "row_id"), "row_id"),
-                      ["comp", "block", "part"], "guest").select("comp", "block", "part", "guest", "row_id", "copies", "items")
+    held = sets.join(firsts.select("row_id", "copies"), "row_id")
+    tasks = _in_order(guests.unionByName(hosts).join(held, "row_id"), ["comp", "block", "part"], "guest").select(
+        "comp", "block", "part", "guest", "row_id", "copies", "items")
     counted = checkpointed(tasks.mapInArrow(
-        partial(_count_links, threshold=threshold), "row_id long, comp long, links long").where("links > 0"))
-    joined = components(counted.withColumnRenamed("comp", "there").join(in_group, "row_id").where(
-        "comp <> there").select(F.col("comp").alias("a"), F.col("there").alias("b")))
-    total = counted.groupBy("row_id").agg(F.sum("links").alias("links"))
-    groups = in_group.join(joined.select(F.col("id").alias("comp"), F.col("comp").alias("low")), "comp", "left").select(
-        "row_id", F.coalesce("low", "comp").alias("group")).join(total, "row_id", "left")
+        partial(_count_links, threshold=threshold), "row_id long, other long, links long"))
+    classes = components(counted.select(F.col("row_id").alias("a"), F.col("other").alias("b")))
+    groups = counted.groupBy("row_id").agg(F.sum("links").alias("links")).join(
+        classes.select(F.col("id").alias("row_id"), F.col("comp").alias("group")), "row_id")
     stands = firsts.join(groups, "row_id", "left").select(
         "words", F.col("row_id").alias("copy_of"), F.coalesce("group", "row_id").alias("group"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
