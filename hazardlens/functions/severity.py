@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Patterns, tiers and scores of the severity rule. (?U) makes \b, \s and \d Unicode-aware.
-SCANNED_CHARS = 3000
 MAGNITUDE = r"(?iU)\bM\s?(\d(?:\.\d)?)"
 DEATHS = r"(?iU)(\d{1,6})\s*(?:dead|deaths|killed|fatalities|casualt(?:y|ies)|missing)"
 DISPLACED = r"(?iU)(\d{1,7})\s*(?:displaced|evacuated|homeless|affected)"
@@ -42,17 +41,23 @@ def _combine(text: str, magnitude: str, deaths: str, displaced: str) -> str:
     return f"CAST(round(greatest(0D, {', '.join(parts)}), 3) AS FLOAT)"
 
 
-def severity_sql(text: str) -> str:
-    """One-expression form for ``CREATE FUNCTION``; ``text`` is any SQL string expression."""
-    head = f"substring({text}, 1, {SCANNED_CHARS})"
+def _scanned(text: str, max_chars: int | None) -> str:
+    return text if max_chars is None else f"substring({text}, 1, {max_chars})"
+
+
+def severity_sql(text: str, max_chars: int | None = None) -> str:
+    """One-expression form for ``CREATE FUNCTION``; ``text`` is any SQL string expression. The whole text is read
+    unless ``max_chars`` is given."""
+    head = _scanned(text, max_chars)
     return _combine(head, _number(head, MAGNITUDE, "DOUBLE"), _number(head, DEATHS, "INT"),
                     _number(head, DISPLACED, "INT"))
 
 
-def with_severity(df: DataFrame, text: str = "coalesce(text, title)", out: str = "severity") -> DataFrame:
+def with_severity(df: DataFrame, text: str = "coalesce(text, title)", out: str = "severity",
+                  max_chars: int | None = None) -> DataFrame:
     """Staged form: each number is extracted once and reused by its tiers."""
     keep = [c for c in df.columns if c != out]
-    head = df.withColumn("__head", F.expr(f"substring({text}, 1, {SCANNED_CHARS})"))
+    head = df.withColumn("__head", F.expr(_scanned(text, max_chars)))
     numbers = head.withColumns({
         "__mag": F.expr(_number("__head", MAGNITUDE, "DOUBLE")),
         "__dead": F.expr(_number("__head", DEATHS, "INT")),

@@ -2,53 +2,79 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazardlens.functions.severity import severity_sql
-from hazardlens.functions.text import CAPITALISED, PLACE_SCANNED_CHARS
+from hazardlens.functions.text import CAPITALISED
+from hazardlens.operators.places import INLINE_NAMES, build_cities, build_countries
 
-MAX_INLINE_NAMES = 10_000
+PLACE = "geo_lat double, geo_lon double, geo_country string"
 
 
 def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def register_sql_functions(spark: SparkSession, countries: DataFrame | None = None,
-                           cities: DataFrame | None = None) -> None:
+def _inline(nations: dict[str, str], towns: dict[str, tuple]) -> str:
+    """One expression: the words are found once, then looked up in literal maps."""
+    def literal(entries: list[str], kind: str) -> str:
+        return f"map({', '.join(entries)})" if entries else f"CAST(map() AS MAP<STRING, {kind}>)"
+
+    codes = literal([f"{_quoted(k)}, {_quoted(code)}" for k, code in nations.items()], "STRING")
+    spots = literal([f"{_quoted(k)}, named_struct('geo_lat', {lat!r}D, 'geo_lon', {lon!r}D, 'geo_country', {_quoted(code)})"
+                     for k, (lat, lon, code) in towns.items()], "STRUCT<geo_lat: DOUBLE, geo_lon: DOUBLE, geo_country: STRING>")
+    nothing = "CAST(NULL AS DOUBLE)"
+    words = f"array(transform(regexp_extract_all(t, r'{CAPITALISED}', 1), x -> lower(x)))"
+    return (f"get(transform({words}, w -> coalesce("
+            f"get(transform(filter(w, x -> {codes}[x] IS NOT NULL), x -> named_struct('geo_lat', {nothing}, 'geo_lon', "
+            f"{nothing}, 'geo_country', {codes}[x])), 0), "
+            f"get(transform(filter(w, x -> {spots}[x] IS NOT NULL), x -> {spots}[x]), 0), "
+            f"named_struct('geo_lat', {nothing}, 'geo_lon', {nothing}, 'geo_country', CAST(NULL AS STRING)))), 0)")
+
+
+def _register_lookup(spark: SparkSession, nations: dict[str, str], towns: dict[str, tuple]) -> None:
+    """Beyond what fits an expression: the same rule over Arrow batches with a broadcast dictionary."""
+    import re
+
+    shared = spark.sparkContext.broadcast((nations, towns))
+    pattern = re.compile(CAPITALISED.removeprefix("(?U)"))
+
+    @F.pandas_udf(PLACE)
+    def geoparse_text(texts: pd.Series) -> pd.DataFrame:
+        nations, towns = shared.value
+
+        def place(text: str | None) -> tuple:
+            words = [w.lower() for w in pattern.findall(text or "")]
+            code = next((nations[w] for w in words if w in nations), None)
+            if code is not None:
+                return None, None, code
+            return next((towns[w] for w in words if w in towns), (None, None, None))
+
+        return pd.DataFrame([place(t) for t in texts], columns=["geo_lat", "geo_lon", "geo_country"])
+
+    spark.udf.register("geoparse_text", geoparse_text)
+
+
+def register_sql_functions(spark: SparkSession, countries: DataFrame | None = None, cities: DataFrame | None = None,
+                           inline_names: int = INLINE_NAMES) -> None:
     """Expose ``score_severity(text)`` and, given a gazetteer, ``geoparse_text(text)`` to SQL text.
 
-    Both are SQL expressions, so calls stay inside the JVM. The gazetteer is inlined only while it is
-    small (checked); larger ones go through ``operators.places.resolve_places``.
+    ``countries`` and ``cities`` are raw name tables; they are built like those of ``operators.places``, so both forms
+    know the same places (towns above the least population, the largest of a shared name). A gazetteer of up to
+    ``inline_names`` names becomes an expression that stays inside the JVM; a larger one (it has to fit the driver and
+    a Python worker) is looked up by a vectorised function with the same results.
     """
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION score_severity(t STRING) RETURNS FLOAT "
               f"RETURN {severity_sql('t')}")
     if countries is None or cities is None:
         return
-    nations = countries.select("name", "code").limit(MAX_INLINE_NAMES + 1).collect()
-    towns = cities.select("name", "latitude", "longitude", "countrycode").limit(MAX_INLINE_NAMES + 1).collect()
-    if max(len(nations), len(towns)) > MAX_INLINE_NAMES:
-        raise ValueError("gazetteer too large to inline; use resolve_places")
-    tokens = (f"transform(regexp_extract_all(substring(t, 1, {PLACE_SCANNED_CHARS}), r'{CAPITALISED}', 1), "
-              f"x -> lower(x))")
-
-    def first_of(names: list[str]) -> str:
-        if not names:
-            return "CAST(NULL AS STRING)"
-        return f"get(filter({tokens}, x -> x IN ({', '.join(map(_quoted, names))})), 0)"
-
-    codes = "map(" + ", ".join(f"{_quoted(r.name.lower())}, {_quoted(r.code)}" for r in nations) + ")"
-    spots = "map(" + ", ".join(
-        f"{_quoted(r.name.lower())}, named_struct('geo_lat', {r.latitude}D, 'geo_lon', {r.longitude}D, "
-        f"'geo_country', {_quoted(r.countrycode)})" for r in towns) + ")"
-    nation_key = first_of([r.name.lower() for r in nations])
-    town_key = first_of([r.name.lower() for r in towns])
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION geoparse_text(t STRING) "
-        "RETURNS STRUCT<geo_lat: DOUBLE, geo_lon: DOUBLE, geo_country: STRING> RETURN CASE "
-        + (f"WHEN {nation_key} IS NOT NULL THEN named_struct('geo_lat', CAST(NULL AS DOUBLE), 'geo_lon', "
-           f"CAST(NULL AS DOUBLE), 'geo_country', {codes}[{nation_key}]) " if nations else "")
-        + (f"WHEN {town_key} IS NOT NULL THEN {spots}[{town_key}] " if towns else "")
-        + "ELSE named_struct('geo_lat', CAST(NULL AS DOUBLE), 'geo_lon', CAST(NULL AS DOUBLE), "
-          "'geo_country', CAST(NULL AS STRING)) END"
-    )
+    nations = {r.key: r.code for r in build_countries(countries).collect()}
+    towns = {r.key: (r.latitude, r.longitude, r.countrycode) for r in build_cities(cities).collect()}
+    spark.sql("DROP TEMPORARY FUNCTION IF EXISTS geoparse_text")
+    if max(len(nations), len(towns)) > inline_names:
+        _register_lookup(spark, nations, towns)
+    else:
+        spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION geoparse_text(t STRING) RETURNS STRUCT<geo_lat: DOUBLE, "
+                  f"geo_lon: DOUBLE, geo_country: STRING> RETURN {_inline(nations, towns)}")

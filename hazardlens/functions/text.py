@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Token patterns that decide which words can match.
 LEXICON_WORD = r"([a-zA-Z][a-zA-Z\-]+)"
 CAPITALISED = r"(?U)\b([A-Z][a-zA-Z\-]{2,})\b"
-PLACE_SCANNED_CHARS = 1500
 
 
 def joined_text(*parts: Column) -> Column:
@@ -29,8 +28,10 @@ def lexicon_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(LEXICON_WORD), F.lit(1))
 
 
-def capitalised_tokens(text: Column) -> Column:
-    head = F.substring(F.coalesce(text, F.lit("")), 1, PLACE_SCANNED_CHARS)
+def capitalised_tokens(text: Column, max_chars: int | None = None) -> Column:
+    """Capitalised words of the whole text, or of its first ``max_chars`` characters."""
+    known = F.coalesce(text, F.lit(""))
+    head = known if max_chars is None else F.substring(known, 1, max_chars)
     return F.regexp_extract_all(head, F.lit(CAPITALISED), F.lit(1))
 
 

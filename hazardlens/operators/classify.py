@@ -11,11 +11,9 @@ from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardlens.session import scratch_path
 
-SCORED_CHARS = 1500
 BatchScorer = Callable[[list[str]], tuple[list[str], list[float]]]
 
 
@@ -44,38 +42,31 @@ def classify_with_model(df: DataFrame, model: PipelineModel) -> DataFrame:
         "__words", "__tf", "__prob", "__raw")
 
 
-def register_scorer(spark: SparkSession, load_scorer: Callable[[], BatchScorer], name: str = "classify_event") -> None:
-    """Make a batch scorer callable from SQL text as ``name(text) -> struct<event_type, classify_conf>``."""
-    limit = SCORED_CHARS
-
+def _scorer_function(load_scorer: Callable[[], BatchScorer], max_chars: int | None):
+    """Texts (whole, or their first ``max_chars`` characters) to (event_type, classify_conf), batch by batch."""
     @F.pandas_udf("event_type string, classify_conf float")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = load_scorer()
         for batch in batches:
-            texts = batch.fillna("").str.slice(0, limit).tolist()
+            texts = batch.fillna("").str.slice(0, max_chars).tolist()
             labels, confidences = scorer(texts) if texts else ([], [])
             yield pd.DataFrame({"event_type": labels, "classify_conf": pd.Series(confidences, dtype="float32")})
 
-    spark.udf.register(name, classify)
+    return classify
 
 
-def classify_with_scorer(df: DataFrame, load_scorer: Callable[[], BatchScorer], text: str = "text") -> DataFrame:
-    """Run any batch scorer over Arrow batches and add ``event_type`` and ``classify_conf``.
+def register_scorer(spark: SparkSession, load_scorer: Callable[[], BatchScorer], name: str = "classify_event",
+                    max_chars: int | None = None) -> None:
+    """Make a batch scorer callable from SQL text as ``name(text) -> struct<event_type, classify_conf>``."""
+    spark.udf.register(name, _scorer_function(load_scorer, max_chars))
 
-    ``load_scorer`` is called once per task, so a model is loaded once and reused for all its batches.
-    The scorer gets the first 1500 characters of each text (its input limit) and returns labels and
-    confidences.
-    """
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("event_type", T.StringType()), T.StructField("classify_conf", T.FloatType())])
-    limit = SCORED_CHARS
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = load_scorer()
-        for batch in batches:
-            texts = batch[text].fillna("").str.slice(0, limit).tolist()
-            labels, confidences = scorer(texts) if texts else ([], [])
-            yield batch.assign(event_type=labels, classify_conf=pd.Series(confidences, index=batch.index,
-                                                                          dtype="float32"))
+def classify_with_scorer(df: DataFrame, load_scorer: Callable[[], BatchScorer], text: str = "text",
+                         max_chars: int | None = None) -> DataFrame:
+    """Run any batch scorer over Arrow batches and add ``event_type`` and ``classify_conf``.
 
-    return df.mapInPandas(score, schema)
+    ``load_scorer`` is called once per task, so a model is loaded once and reused for all its batches. Only the text
+    goes to Python: whole, unless the scorer has an input limit (``max_chars``).
+    """
+    scored = df.withColumn("__scored", _scorer_function(load_scorer, max_chars)(F.col(text)))
+    return scored.select(*df.columns, "__scored.event_type", "__scored.classify_conf")

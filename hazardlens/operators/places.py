@@ -8,11 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.functions.text import PLACE_SCANNED_CHARS, capitalised_tokens
+from hazardlens.functions.text import capitalised_tokens
 from hazardlens.operators.normalize import first_per_key
 
 MIN_POPULATION = 100_000
 INLINE_NAMES = 10_000
+SPREAD_KEYS = 100_000
 
 
 def build_cities(cities: DataFrame, min_population: int = MIN_POPULATION) -> DataFrame:
@@ -107,24 +108,31 @@ def resolve_places(df: DataFrame, gazetteer: Gazetteer, text: Column, needed: Co
 
 
 def place_of_text(texts: DataFrame, countries: DataFrame, cities: DataFrame) -> DataFrame:
-    """Table form: each distinct ``place_text`` that names a known place, with the place found.
+    """Table form: each distinct ``place_text`` that names a known place, with the place found."""
+    keyed = texts.where(F.col("place_text") != "").withColumn("__key", F.sha2("place_text", 256))
+    names = keyed.select("__key", "place_text").dropDuplicates(["__key"])
+    return _places_by_key(keyed, F.col("place_text"), countries, cities).join(names, "__key").drop("__key").select(
+        "place_text", "geo_lat", "geo_lon", "geo_country")
 
-    Tokens keep their position; the first country hit and the first city hit are picked by map-side
-    aggregation, whatever the gazetteer's size.
+
+def _places_by_key(keyed: DataFrame, text: Column, countries: DataFrame, cities: DataFrame) -> DataFrame:
+    """The place of each ``__key`` (a digest of ``text``) that names a known one.
+
+    Only tokens travel, never texts. A repeated text's tokens fall together map-side; the first country hit and the
+    first city hit are picked by aggregation, whatever the gazetteer's size.
     """
-    distinct = texts.where(F.col("place_text") != "").select("place_text").distinct()
-    tokens = distinct.select("place_text", F.posexplode(capitalised_tokens(F.col("place_text"))).alias("pos", "tok"))
-    tokens = tokens.withColumn("key", F.lower("tok"))
+    tokens = keyed.select("__key", F.posexplode(capitalised_tokens(text)).alias("pos", "tok")).groupBy(
+        "__key", F.lower("tok").alias("key")).agg(F.min("pos").alias("pos"))
     hits = (tokens.join(countries, "key", "left").join(cities, "key", "left")
             .where(F.col("code").isNotNull() | F.col("countrycode").isNotNull()))
     town = F.struct("pos", "latitude", "longitude", "countrycode")
-    picked = hits.groupBy("place_text").agg(
+    picked = hits.groupBy("__key").agg(
         F.min(F.when(F.col("code").isNotNull(), F.struct("pos", "code"))).alias("nation"),
         F.min(F.when(F.col("countrycode").isNotNull(), town)).alias("town"),
     )
     by_town = F.col("nation").isNull()
     return picked.select(
-        "place_text",
+        "__key",
         F.when(by_town, F.col("town.latitude")).alias("geo_lat"),
         F.when(by_town, F.col("town.longitude")).alias("geo_lon"),
         F.coalesce(F.col("nation.code"), F.col("town.countrycode")).alias("geo_country"),
@@ -133,6 +141,9 @@ def place_of_text(texts: DataFrame, countries: DataFrame, cities: DataFrame) ->
 
 def _resolve_by_join(df: DataFrame, gazetteer: Gazetteer, text: Column) -> DataFrame:
     keep = df.columns
-    keyed = df.withColumn("place_text", F.substring(text, 1, PLACE_SCANNED_CHARS))  # all that is read
-    places = place_of_text(keyed, gazetteer.countries, gazetteer.cities)
-    return keyed.join(places, "place_text", "left").select(*keep, "geo_lat", "geo_lon", "geo_country")
+    keyed = df.withColumn("__key", F.when(text != "", F.sha2(text, 256)))
+    places = _places_by_key(keyed.where(F.col("__key").isNotNull()), text, gazetteer.countries, gazetteer.cities)
+    # Rows that need no place get keys of their own, spread out, so that they do not meet in one task.
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in keep]), F.lit(SPREAD_KEYS)))
+    return (keyed.withColumn("__key", F.coalesce("__key", spread)).join(places, "__key", "left")
+            .select(*keep, "geo_lat", "geo_lon", "geo_country"))

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import clean_document, joined_text
+from hazardlens.session import checkpointed
 
 K = 12
 HASH_BUCKETS = 1 << 14
-FIT_ROWS = 500_000
 MIN_DOC_CHARS = 20
 
 
@@ -30,25 +30,33 @@ def theme_documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(F.length(joined_text(*parts)) > MIN_DOC_CHARS).withColumn("doc", clean_document(*parts))
 
 
-def fit_sample(docs: DataFrame, n: int, max_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
-    """Bernoulli sample of about ``max_rows`` documents, or all of them when there are fewer."""
-    return docs if n <= max_rows else docs.sample(withReplacement=False, fraction=max_rows / n, seed=seed)
+def sampled(docs: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Bernoulli sample: each row is kept with probability ``fraction``, decided by a digest of its key. The same
+    rows come out of every run, retry and cluster."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return docs.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < int(fraction * (1 << 32)))
 
 
-def fit_themes(docs: DataFrame, k: int = K, buckets: int = HASH_BUCKETS, max_iter: int = 20,
-               seed: int = 42, max_rows: int = FIT_ROWS) -> PipelineModel:
-    """Tokens -> stop words -> hashed term counts -> IDF -> K-means, fitted on a bounded sample."""
-    n = docs.count()
+def fit_themes(docs: DataFrame, k: int = K, buckets: int = HASH_BUCKETS, max_iter: int = 20, seed: int = 42,
+               stop_words: list[str] | None = None) -> PipelineModel:
+    """Tokens -> stop words -> hashed term counts -> IDF -> K-means, fitted on all of ``docs``.
+
+    The features are stored once, so the clustering rounds read them and not the texts. A caller who wants a cheaper
+    fit hands in a sample (:func:`sampled`).
+    """
+    remover = StopWordsRemover(inputCol="words", outputCol="tokens")
+    if stop_words is not None:
+        remover.setStopWords(stop_words)
+    weights = Pipeline(stages=[
+        Tokenizer(inputCol="doc", outputCol="words"), remover,
+        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=buckets), IDF(inputCol="tf", outputCol="features"),
+    ]).fit(docs)
+    features = checkpointed(weights.transform(docs).select("features"))
+    n = features.count()
     if n < k:
         raise TooFewDocuments(f"{n} documents for {k} clusters")
-    stages = [
-        Tokenizer(inputCol="doc", outputCol="words"),
-        StopWordsRemover(inputCol="words", outputCol="tokens"),
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=buckets),
-        IDF(inputCol="tf", outputCol="features"),
-        KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id"),
-    ]
-    return Pipeline(stages=stages).fit(fit_sample(docs, n, max_rows, seed))
+    clusters = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id").fit(features)
+    return PipelineModel([*weights.stages, clusters])
 
 
 def assign_themes(docs: DataFrame, model: PipelineModel, keep_tokens: bool = False) -> DataFrame:

@@ -9,17 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators.explore import type_country_term_counts
-from hazardlens.operators.leadtime import fits
 from hazardlens.session import scratch_path
 
-HINT_ROWS = 100_000
-
 
 def _hinted(events: DataFrame, terms: DataFrame) -> DataFrame:
     """The same counts as a join: events are counted per group first, so the keyless match works on the
-    number of groups and not on the events. The term side is hinted only if it is small (checked)."""
-    chosen = terms.where(F.col("cluster_id") == 0).select(F.lit(1).alias("one"))
-    small = F.broadcast(chosen) if fits(chosen, HINT_ROWS) else chosen
+    number of groups and not on the events. A cluster keeps a bounded number of ranked terms (10 by
+    default, see ``themes.top_terms``), so the hinted side is small by construction."""
+    small = F.broadcast(terms.where(F.col("cluster_id") == 0).select(F.lit(1).alias("one")))
     groups = events.groupBy("event_type", "country").agg(F.count(F.lit(1)).alias("events"), F.lit(1).alias("one"))
     return groups.join(small, "one").groupBy("event_type", "country").agg(F.sum("events").alias("n"))
 

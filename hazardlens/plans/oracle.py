@@ -32,10 +32,10 @@ cities AS (
   UNION ALL SELECT 'manila', CAST(14.6 AS DOUBLE), CAST(121.0 AS DOUBLE), 'PH'),
 numbers AS (
   SELECT *, coalesce(text, title) AS scored,
-         TRY_CAST(regexp_extract(substr(coalesce(text, title), 1, 3000), '(?i)\bM\s?(\d(?:\.\d)?)', 1) AS DOUBLE) AS mag,
-         TRY_CAST(regexp_extract(substr(coalesce(text, title), 1, 3000),
+         TRY_CAST(regexp_extract(coalesce(text, title), '(?i)\bM\s?(\d(?:\.\d)?)', 1) AS DOUBLE) AS mag,
+         TRY_CAST(regexp_extract(coalesce(text, title),
            '(?i)(\d{1,6})\s*(?:dead|deaths|killed|fatalities|casualt(?:y|ies)|missing)', 1) AS INTEGER) AS dead,
-         TRY_CAST(regexp_extract(substr(coalesce(text, title), 1, 3000),
+         TRY_CAST(regexp_extract(coalesce(text, title),
            '(?i)(\d{1,7})\s*(?:displaced|evacuated|homeless|affected)', 1) AS INTEGER) AS moved
   FROM typed),
 scored AS (
@@ -52,7 +52,7 @@ scored AS (
   FROM numbers),
 tokens AS (
   SELECT event_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
-    SELECT event_id, regexp_extract_all(substr(scored, 1, 1500), '\b([A-Z][a-zA-Z\-]{2,})\b', 1) AS words
+    SELECT event_id, regexp_extract_all(scored, '\b([A-Z][a-zA-Z\-]{2,})\b', 1) AS words
     FROM numbers WHERE country IS NULL OR lat IS NULL OR lon IS NULL)),
 by_country AS (
   SELECT event_id, arg_min(code, pos) AS code FROM tokens JOIN countries ON lower(word) = key GROUP BY event_id),

@@ -9,11 +9,12 @@ from hazardlens.functions.text import post_link
 from hazardlens.operators import explore as X
 from hazardlens.operators import keywords as KW
 from hazardlens.operators import leadtime as LT
+from hazardlens.operators import themes as TH
 from hazardlens.plans.inputs import Inputs
 from hazardlens.plans.lab import compare_conditions
 from hazardlens.plans.registry import query, rounded
 from hazardlens.session import scratch_path
-from hazardlens.sinks.tables import read_region_date, region_date_rows, write_region_date
+from hazardlens.sinks.tables import read_region_date, region_date_rows, write_parquet, write_region_date
 from hazardlens.sources.feeds import normalise_posts
 
 
@@ -196,7 +197,9 @@ def _(i: Inputs) -> DataFrame:
 @query("l08_capped_listing", "SELECT event_type, off_id, soc_id, delta_seconds FROM pairs ORDER BY event_type, off_id, "
                              "soc_id LIMIT 5000")
 def _(i: Inputs) -> DataFrame:
-    matches = LT.lead_time_matches(i.enriched).select("event_type", "off_id", "soc_id", "delta_seconds")
+    path = scratch_path(i.spark, "stored-matches")
+    write_parquet(LT.lead_time_matches(i.enriched), path)
+    matches = i.spark.read.parquet(path).select("event_type", "off_id", "soc_id", "delta_seconds")
     return matches.orderBy("event_type", "off_id", "soc_id").limit(5000)
 
 
@@ -206,16 +209,38 @@ def _(i: Inputs) -> DataFrame:
     return X.map_points(i.enriched, limit=1500).select("event_id", "lat", "lon")
 
 
+def _prompt(i: Inputs, template: str) -> DataFrame:
+    X.register_reports(i.spark, i.enriched, i.clustered, TH.term_lists(i.token_counts, 5))
+    return X.run_sql(i.spark, template)
+
+
 @query("x07_sql_template", "SELECT event_type, count(*) AS n, round(avg(severity), 6) AS avg_sev FROM enriched GROUP BY "
                            "event_type")
 def _(i: Inputs) -> DataFrame:
-    X.register_views(i.spark, {"events_enriched": i.enriched})
-    return rounded(X.run_sql(i.spark, "severity by type"), "avg_sev")
+    return rounded(_prompt(i, "severity by type"), "avg_sev")
+
+
+@query("x07_sql_inferred_countries", "SELECT geo_country, count(*) AS total_events FROM enriched WHERE geo_country IS NOT NULL "
+                                     "GROUP BY geo_country ORDER BY total_events DESC, geo_country LIMIT 15")
+def _(i: Inputs) -> DataFrame:
+    return _prompt(i, "inferred countries")
+
+
+@query("x07_sql_source_shares", "SELECT source, count(*) AS event_count, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE "
+                                "AS percentage FROM enriched GROUP BY source")
+def _(i: Inputs) -> DataFrame:
+    return _prompt(i, "source shares")
+
+
+@query("x07_sql_confident_events", "SELECT event_id, source, event_type, title, round(CAST(classify_conf AS DOUBLE), 3) AS "
+                                   "confidence, geo_country FROM enriched WHERE CAST(classify_conf AS DOUBLE) > 0.9 AND "
+                                   "source <> 'usgs' ORDER BY classify_conf DESC, event_id LIMIT 10")
+def _(i: Inputs) -> DataFrame:
+    return _prompt(i, "confident events")
 
 
 @query("x07_sql_cluster_themes", """, s AS (SELECT cluster_id, count(event_id) AS event_count FROM clustered GROUP BY ALL)
     SELECT cluster_id, event_count, string_agg(token, ', ' ORDER BY rank) AS top_terms FROM s JOIN cluster_terms
     USING (cluster_id) WHERE rank <= 5 GROUP BY cluster_id, event_count""")
 def _(i: Inputs) -> DataFrame:
-    X.register_views(i.spark, {"events_clustered": i.clustered, "cluster_terms": i.cluster_terms})
-    return X.run_sql(i.spark, "cluster themes")
+    return _prompt(i, "cluster themes")

@@ -188,11 +188,10 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("w02_rolling_7d_calendar",
-       ", d AS (SELECT day, count(*) AS n FROM hub WHERE weekday <> 'Wed' GROUP BY day) SELECT day, n, round(avg(n) OVER "
+       ", d AS (SELECT day, count(*) AS n FROM hub GROUP BY day) SELECT day, n, round(avg(n) OVER "
        "(ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 6) AS rolling_7d FROM d")
 def _(i: Inputs) -> DataFrame:
-    gapped = i.hub.where(F.col("weekday") != "Wed")
-    return rounded(H.rolling_mean_calendar(H.daily_totals(gapped)), "rolling_7d")
+    return rounded(H.rolling_mean_calendar(H.daily_totals(i.hub)), "rolling_7d")
 
 
 @query("w03_share_of_day", """, d AS (SELECT day, source, count(*) AS n FROM hub GROUP BY day, source)

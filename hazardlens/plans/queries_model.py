@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators import classify as C
 from hazardlens.operators import themes as T
-from hazardlens.plans.inputs import EVENT_TYPES, Inputs
+from hazardlens.plans.inputs import EVENT_TYPES, STOP_WORDS, Inputs
 from hazardlens.plans.registry import query, rounded
 
 _SIZES = ("SELECT cluster_id, count(*) AS events, round(avg(severity), 6) AS avg_severity FROM clustered "
@@ -101,11 +101,65 @@ def _(i: Inputs) -> DataFrame:
     return T.assign_themes(docs, T.fit_themes(docs))
 
 
-@query("l07_bernoulli_sample")
+@query("l07_bernoulli_sample", "SELECT doc_id, lang FROM docs WHERE ('0x' || substr(md5('42:' || doc_id), 1, 8))::BIGINT "
+                               "< 2147483648")
 def _(i: Inputs) -> DataFrame:
-    docs = i.documents.select("doc_id", "lang")
-    n = docs.count()
-    return T.fit_sample(docs, n, max_rows=max(1, n // 2))
+    return T.sampled(i.documents.select("doc_id", "lang"), "doc_id", 0.5)
+
+
+@query("x05_fit_to_terms_facts", "SELECT count(*) AS documents, 1 AS clusters_in_range, (SELECT CAST(sum(n) AS BIGINT) FROM "
+                                 "token_counts) AS counted_tokens, 1 AS ranks_in_range FROM docs")
+def _(i: Inputs) -> DataFrame:
+    # Fit, assign and rank terms on the same rows; what has to hold whatever clusters come out.
+    model = T.fit_themes(i.documents, stop_words=STOP_WORDS)
+    clustered = T.assign_themes(i.documents, model, keep_tokens=True).select("doc_id", "cluster_id", "tokens")
+    counts = T.token_counts(clustered)
+    facts = clustered.agg(
+        F.count_distinct("doc_id").alias("documents"),
+        F.bool_and(F.col("cluster_id").between(0, T.K - 1)).cast("int").alias("clusters_in_range"))
+    ranked = T.top_terms(counts).agg(F.bool_and(F.col("rank").between(1, 10)).cast("int").alias("ranks_in_range"))
+    counted = counts.agg(F.sum("n").alias("counted_tokens"))
+    one = F.lit(1).alias("one")     # three tables of one row
+    return facts.select("*", one).join(counted.select("*", one), "one").join(ranked.select("*", one), "one").drop("one")
+
+
+@query("x06_assignment_facts", "SELECT doc_id, lang, 1 AS times, true AS same_again FROM docs")
+def _(i: Inputs) -> DataFrame:
+    # Every document once, and in the same cluster when it is scored again from other partitions.
+    docs = i.documents.select("doc_id", "lang", "doc")
+    model = T.fit_themes(docs)
+    again = T.assign_themes(docs.repartition(3, "doc_id"), model).select("doc_id", F.col("cluster_id").alias("second"))
+    both = T.assign_themes(docs, model).join(again, "doc_id")
+    return both.groupBy("doc_id", "lang").agg(
+        F.count(F.lit(1)).cast("int").alias("times"),
+        F.bool_and(F.col("cluster_id") == F.col("second")).alias("same_again"))
+
+
+@query("x03_trained_classifier_facts", "SELECT count(*) AS documents, true AS labels_ok, true AS confidence_ok, true AS "
+                                       "learned FROM documents")
+def _(i: Inputs) -> DataFrame:
+    labels = i.table("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    docs = i.spread("documents").select("doc_id", "text")
+    scored = C.classify_with_model(docs, C.fit_text_classifier(docs.join(labels, "doc_id"))).join(labels, "doc_id", "left")
+    right = F.avg(F.when(F.col("label").isNotNull(), (F.col("predicted") == F.col("label")).cast("int")))
+    share = F.greatest(F.avg("label"), 1 - F.avg("label"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("documents"), F.bool_and(F.col("predicted").isin(0.0, 1.0)).alias("labels_ok"),
+        F.bool_and(F.col("classify_conf").between(0.5, 1.0)).alias("confidence_ok"), (right >= share).alias("learned"))
+
+
+@query("x04_classify_event_sql", "SELECT doc_id, CASE WHEN length(text) > 500 THEN 'long' ELSE 'short' END AS event_type, "
+                                 "CAST(length(text) / 2048.0 AS FLOAT) AS classify_conf FROM documents")
+def _(i: Inputs) -> DataFrame:
+    def load():
+        def score(texts: list[str]) -> tuple[list[str], list[float]]:
+            return ["long" if len(t) > 500 else "short" for t in texts], [len(t) / 2048 for t in texts]
+        return score
+
+    C.register_scorer(i.spark, load)
+    i.spread("documents").createOrReplaceTempView("hazardlens_documents")
+    return i.spark.sql("SELECT doc_id, scored.event_type, scored.classify_conf FROM "
+                       "(SELECT doc_id, classify_event(text) AS scored FROM hazardlens_documents)")
 
 
 @query("x03_trained_classifier")
@@ -116,8 +170,8 @@ def _(i: Inputs) -> DataFrame:
     return C.classify_with_model(docs, model).select("doc_id", "predicted", "classify_conf")
 
 
-@query("x03_batch_scorer_hook", "SELECT doc_id, CASE WHEN length(substr(text, 1, 1500)) > 500 THEN 'long' ELSE 'short' "
-                                "END AS event_type, CAST(length(substr(text, 1, 1500)) / 2048.0 AS FLOAT) AS "
+@query("x03_batch_scorer_hook", "SELECT doc_id, CASE WHEN length(text) > 500 THEN 'long' ELSE 'short' "
+                                "END AS event_type, CAST(length(text) / 2048.0 AS FLOAT) AS "
                                 "classify_conf FROM documents")
 def _(i: Inputs) -> DataFrame:
     def load():

@@ -17,7 +17,8 @@ from hazardlens.operators import places as PL
 from hazardlens.plans import hub as H
 from hazardlens.plans.inputs import Inputs
 from hazardlens.plans.registry import query, rounded
-from hazardlens.sinks.tables import new_rows, poll_statistics
+from hazardlens.session import scratch_path
+from hazardlens.sinks.tables import new_rows, poll_statistics, write_parquet
 
 CANONICAL_SQL = "event_id, source, title, text, lat, lon, ts, country"
 
@@ -201,8 +202,8 @@ def _(i: Inputs) -> DataFrame:
 @query("x01_severity_documents", r"""SELECT doc_id, CAST(round(greatest(0.0,
     CASE WHEN m IS NULL THEN 0.0 ELSE least(1.0, (m - 4.0) / 5.0) END, CASE WHEN hit THEN 0.65 ELSE 0.0 END), 3)
     AS FLOAT) AS severity FROM (SELECT doc_id,
-    TRY_CAST(regexp_extract(substr(text, 1, 3000), '(?i)\bM\s?(\d(?:\.\d)?)', 1) AS DOUBLE) AS m,
-    regexp_matches(substr(text, 1, 3000),
+    TRY_CAST(regexp_extract(text, '(?i)\bM\s?(\d(?:\.\d)?)', 1) AS DOUBLE) AS m,
+    regexp_matches(text,
       '(?i)\b(destroyed|devastated|collapsed|wiped out|catastrophic|massive damage)\b') AS hit FROM documents)""")
 def _(i: Inputs) -> DataFrame:
     return with_severity(i.spread("documents"), "text").select("doc_id", "severity")
@@ -210,7 +211,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("x02_place_of_text",
        ", words AS (SELECT text, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (SELECT DISTINCT text, "
-       "regexp_extract_all(substr(text, 1, 1500), '\\b([A-Z][a-zA-Z\\-]{2,})\\b', 1) AS ws FROM typed "
+       "regexp_extract_all(text, '\\b([A-Z][a-zA-Z\\-]{2,})\\b', 1) AS ws FROM typed "
        "WHERE text <> '')), c AS (SELECT text, arg_min(code, pos) AS code FROM words JOIN countries ON "
        "lower(word) = key GROUP BY text), t AS (SELECT text, arg_min(latitude, pos) AS lat, arg_min(longitude, pos) "
        "AS lon, arg_min(countrycode, pos) AS cc FROM words JOIN cities ON lower(word) = key GROUP BY text) "
@@ -321,8 +322,10 @@ def _(i: Inputs) -> DataFrame:
        "SELECT event_type, off_id, soc_id, delta_seconds / 60.0 AS delta_minutes FROM pairs WHERE event_type IN "
        "(SELECT event_type FROM pairs GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 4)")
 def _(i: Inputs) -> DataFrame:
-    matches = LT.lead_time_matches(i.enriched)
-    top = LT.busiest_types(LT.delta_histogram(i.enriched))
+    path = scratch_path(i.spark, "stored-matches")
+    write_parquet(LT.lead_time_matches(i.enriched), path)
+    matches = i.spark.read.parquet(path)
+    top = LT.busiest_types(LT.deltas_of_matches(matches))
     kept = matches.join(F.broadcast(top), "event_type", "left_semi")
     return kept.select("event_type", "off_id", "soc_id", (F.col("delta_seconds") / 60.0).alias("delta_minutes"))
 
@@ -385,7 +388,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("lead_time_delta_counts", "SELECT event_type, delta_seconds, count(*) AS n FROM pairs GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return LT.delta_counts(i.enriched, hot_seconds=5)
+    return LT.delta_counts(i.enriched, dense_pairs=25)
 
 
 # ---- counts, unions and de-duplication ----
@@ -438,9 +441,10 @@ def _(i: Inputs) -> DataFrame:
     return new_rows(i.canonical, store).select("event_id", "source", "ts")
 
 
-@query("a36_poll_statistics", f"SELECT count(*) AS fetched, count(*) FILTER (NOT {OFFICIAL}) AS inserted FROM typed")
+@query("a36_poll_statistics", f"SELECT count(*) AS fetched, count(*) FILTER (NOT {OFFICIAL} AND text IS NOT NULL) AS inserted, "
+                              "count(*) FILTER (text IS NULL) AS errors FROM typed")
 def _(i: Inputs) -> DataFrame:
     store = i.canonical.where(F.col("source").isin("usgs", "eonet", "gdacs", "reliefweb"))
-    return poll_statistics(i.canonical, store)
+    return poll_statistics(i.canonical, store, readable=F.col("text").isNotNull())
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "hazardlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,3 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared folder for one written table."""
     return f"{shared_dir(spark)}/hazardlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and go on from there, without its lineage."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

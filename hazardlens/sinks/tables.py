@@ -6,11 +6,16 @@ Folders are written by Spark's committer straight to shared storage. Output file
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.operators.normalize import first_per_key
 from hazardlens.schema import DOCUMENT_COLUMNS, LEAD_MATCHES, LEAD_SUMMARY, REGION_DATE
+from hazardlens.session import checkpointed
 
 MAX_ROWS_PER_FILE = 5_000_000
 
@@ -19,12 +24,36 @@ class RowCountMismatch(RuntimeError):
     pass
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A new folder beside ``path`` that becomes ``path`` when the block ends without an error."""
+    jvm = spark._jvm
+    target, staged, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{end}")
+                           for end in ("", f".new-{uuid.uuid4().hex[:8]}", f".old-{uuid.uuid4().hex[:8]}"))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        yield staged.toString()
+    except BaseException:
+        files.delete(staged, True)
+        raise
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"{path} cannot be replaced")
+    if not files.rename(staged, target):
+        files.rename(old, target)
+        raise OSError(f"{path} cannot be replaced")
+    files.delete(old, True)
+
+
 def write_parquet(df: DataFrame, path: str, files: int | None = None, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
     """Overwrite (or append) a Parquet table, optionally with a fixed number of files or partition columns.
 
-    ``files`` uses a full repartition, so asking for few files does not slow the stages before it.
+    ``files`` uses a full repartition, so asking for few files does not slow the stages before it. An overwrite is
+    written beside the table and takes its place when it is complete; a failed write leaves the old table.
     """
+    if mode == "overwrite":
+        with replacing(df.sparkSession, path) as staged:
+            return write_parquet(df, staged, files, partition_by, mode="errorifexists")
     if files:
         df = df.repartition(files)
     elif partition_by:
@@ -39,12 +68,13 @@ def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] |
     ``files_per_source`` asks for a number of writers (others get up to ``default_files``)."""
     if not files_per_source:
         return write_parquet(df, path, partition_by=["source"])
+    # The numbers are the least for a source: AQE splits slices that are large, and long files are cut.
     fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()],
                      F.lit(default_files))
     spread = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), fan))
-    writers = sum(files_per_source.values()) + default_files
-    placed = spread.repartition(writers, "source", "__slice").drop("__slice")
-    placed.write.mode("overwrite").partitionBy("source").parquet(path)
+    placed = spread.hint("rebalance", "source", "__slice").drop("__slice")
+    with replacing(df.sparkSession, path) as staged:
+        placed.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy("source").parquet(staged)
 
 
 def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
@@ -92,8 +122,27 @@ def write_region_date(df: DataFrame, path: str) -> None:
     """Hive layout on (country, date_bucket); inside a file rows are newest first."""
     rows = region_date_rows(df).hint("rebalance", "country", "date_bucket")
     ordered = rows.sortWithinPartitions("country", "date_bucket", F.col("event_time").desc(), "event_id")
-    ordered.write.mode("overwrite").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy(
-        "country", "date_bucket").parquet(path)
+    with replacing(df.sparkSession, path) as staged:
+        ordered.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy("country", "date_bucket").parquet(staged)
+
+
+def upsert_region_date(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Merge rows into the serving table: equal keys are replaced, all other stored rows stay.
+
+    Only the (country, month) folders that the new rows touch are read, merged into a staged copy and overwritten. A
+    repeated load changes nothing."""
+    fresh = checkpointed(region_date_rows(df))
+    folders, key = ["country", "date_bucket"], ["country", "date_bucket", "event_time", "event_id"]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        return write_region_date(df, path)
+    touched = fresh.select(*folders).distinct()
+    stored = read_region_date(spark, path).join(touched, folders, "left_semi")
+    others = stored.join(fresh.select(*key), key, "left_anti").select(*fresh.columns)
+    merged = checkpointed(fresh.unionByName(others).hint("rebalance", *folders).sortWithinPartitions(
+        *folders, F.col("event_time").desc(), "event_id"))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy(*folders).parquet(path)
 
 
 def read_region_date(spark: SparkSession, path: str) -> DataFrame:
@@ -122,12 +171,19 @@ def new_rows(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> Da
     return incoming.join(known_keys(incoming, store, key), key, "left_anti").select(*incoming.columns)
 
 
-def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id") -> DataFrame:
-    """What a merge would report: rows fetched and distinct keys it would insert."""
-    known = store.select(key).distinct().withColumn("__known", F.lit(True))
-    fresh = F.when(F.col("__known").isNull(), F.col(key))
-    return incoming.select(key).join(known, key, "left").agg(
-        F.count(F.lit(1)).alias("fetched"), F.count_distinct(fresh).alias("inserted"))
+def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id",
+                    readable: Column | None = None) -> DataFrame:
+    """What a merge would report: rows fetched, distinct keys it would insert, and rows that cannot be used.
+
+    A row is an error without a key, or where ``readable`` (such as: a text and a time that could be read) is not true.
+    """
+    usable = F.col(key).isNotNull() & (F.coalesce(readable, F.lit(False)) if readable is not None else F.lit(True))
+    rows = incoming.select(key, usable.alias("__usable"))
+    known = known_keys(rows.where("__usable"), store, key).distinct().withColumn("__known", F.lit(True))
+    fresh = F.when(F.col("__known").isNull() & F.col("__usable"), F.col(key))
+    return rows.join(known, key, "left").agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_distinct(fresh).alias("inserted"),
+        F.count(F.when(~F.col("__usable"), 1)).alias("errors"))
 
 
 def insert_only(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "event_id") -> dict[str, int]:

@@ -71,14 +71,35 @@ def insert_once(store_path: str, key: str = "event_id") -> Callable[[DataFrame,
     return write
 
 
+def partial_window_counts(path: str, width: str = "15 minutes", keys: tuple[str, ...] = ("event_type",),
+                          ) -> Callable[[DataFrame, int], None]:
+    """Store what each micro-batch adds to the tumbling windows, in a folder of its own that a replay overwrites.
+
+    No state and no watermark: late rows count whenever they come, and open windows are there to be read."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy(F.window("ts", width), *keys).agg(F.count(F.lit(1)).alias("n"))
+        counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys,
+                       "n").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def window_totals(spark: SparkSession, path: str, keys: tuple[str, ...] = ("event_type",)) -> DataFrame:
+    """All windows as of now, from the parts that :func:`partial_window_counts` stored."""
+    return spark.read.parquet(path).groupBy("window_start", "window_end", *keys).agg(F.sum("n").alias("n"))
+
+
 def drop_repeats(stream: DataFrame, key: str = "event_id", delay: str = "1 hour") -> DataFrame:
-    """First record per key while the key is within the watermark delay; state older than that is freed."""
+    """First record per key while the key is within the watermark delay; state older than that is freed.
+
+    Rows older than the delay are dropped. Where nothing may be lost, merge with :func:`insert_once` instead."""
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
 def windowed_counts(stream: DataFrame, width: str = "15 minutes", delay: str = "15 minutes",
                     keys: tuple[str, ...] = ("event_type",)) -> DataFrame:
-    """Events per tumbling window; a window is emitted once the watermark has passed its end."""
+    """Events per tumbling window; a window is emitted once the watermark has passed its end, rows later than
+    ``delay`` are dropped. Where nothing may be lost, use :func:`partial_window_counts`."""
     counted = stream.withWatermark("ts", delay).groupBy(F.window("ts", width), *keys).agg(
         F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),

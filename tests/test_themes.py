@@ -49,8 +49,10 @@ def test_themes_separate_planted_topics(planted):
 
 
 def test_sample_size(planted):
-    assert T.fit_sample(planted, 120, max_rows=500).count() == 120
-    assert 20 < T.fit_sample(planted, 120, max_rows=60).count() < 100
+    assert T.sampled(planted, "doc", 1.0).count() == 120
+    numbered = planted.sparkSession.range(1000)
+    half = T.sampled(numbered, "id", 0.5)
+    assert 420 < half.count() < 580 and half.collect() == T.sampled(numbered.repartition(3), "id", 0.5).orderBy("id").collect()
 
 
 def test_ranking_breaks_ties_by_token_and_limits_early(spark):
