@@ -65,14 +65,15 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None, partition_
 def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] | None = None,
                     default_files: int = 8) -> None:
     """One folder per source. By default files are balanced by size, whatever a source holds;
-    ``files_per_source`` asks for a number of writers (others get up to ``default_files``)."""
+    ``files_per_source`` asks for a number of writers (others get up to ``default_files``), whose files are cut at
+    ``MAX_ROWS_PER_FILE``."""
     if not files_per_source:
         return write_parquet(df, path, partition_by=["source"])
-    # The numbers are the least for a source: AQE splits slices that are large, and long files are cut.
     fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()],
                      F.lit(default_files))
     spread = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), fan))
-    placed = spread.hint("rebalance", "source", "__slice").drop("__slice")
+    writers = sum(files_per_source.values()) + default_files
+    placed = spread.repartition(writers, "source", "__slice").drop("__slice")
     with replacing(df.sparkSession, path) as staged:
         placed.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy("source").parquet(staged)
 

@@ -100,3 +100,33 @@ def test_paging_and_recent(spark, events):
     assert [r.event_id for r in X.recent_live(live, as_of).where("ts <= '2023-11-14 22:20'").collect()] in ([], ["0"])
     assert X.map_points(events.withColumn("lat", F.lit(90.0))).count() == 0
     assert X.map_points(events.withColumn("lon", F.lit(-179.99))).count() == 400
+
+
+def test_upsert_replaces_equal_keys_and_keeps_the_rest(spark, events, folder):
+    path = folder + "/u"
+    K.upsert_region_date(spark, events.where("event_id < '5'"), path)
+    first = K.read_region_date(spark, path).count()
+    K.upsert_region_date(spark, events.where("event_id >= '3'").withColumn("title", F.lit("new")), path)
+    table = K.read_region_date(spark, path)
+    assert first < 400 and table.count() == 400
+    assert table.where("title = 'new'").count() == events.where("event_id >= '3'").count()
+    K.upsert_region_date(spark, events.where("event_id >= '3'").withColumn("title", F.lit("new")), path)
+    assert K.read_region_date(spark, path).count() == 400
+
+
+def test_failed_overwrite_leaves_the_old_table(spark, events, folder):
+    K.write_parquet(events, folder + "/t")
+    broken = events.withColumn("lat", F.when(F.col("event_id") == "7", F.raise_error(F.lit("broken"))).otherwise(F.col("lat")))
+    with pytest.raises(Exception, match="broken"):
+        K.write_parquet(broken, folder + "/t")
+    assert spark.read.parquet(folder + "/t").count() == 400
+    assert [p for p in glob.glob(folder + "/*")] == [folder + "/t"]
+    K.write_parquet(events.where("event_id = '7'"), folder + "/t")
+    assert spark.read.parquet(folder + "/t").count() == 1
+
+
+def test_poll_statistics_count_unusable_rows(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None), (None, "x"), ("c", "x")], "event_id string, text string")
+    store = spark.createDataFrame([("c",)], "event_id string")
+    got = K.poll_statistics(rows, store, readable=F.col("text").isNotNull()).first()
+    assert (got.fetched, got.inserted, got.errors) == (5, 1, 2)

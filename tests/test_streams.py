@@ -85,3 +85,15 @@ def test_repeats_and_late_rows(spark, folder):
     closed = [(r.window_start, r.n) for r in spark.read.parquet(folder + "/w").collect()]
     assert (start, 3) in closed  # late "c" is not counted
     assert all(r[0] < start + timedelta(minutes=285) for r in closed)  # later windows are still open
+
+
+def test_partial_counts_keep_late_rows_and_open_windows(spark, folder):
+    rows = [("a", 3600 * 10), ("b", 3600 * 20), ("c", 3600 * 30), ("d", 60), ("e", 3600 * 30 + 5)]
+    for event_id, at in rows:       # the fourth file is older than all before it
+        spark.createDataFrame([(event_id, at, "x")], "event_id string, at long, event_type string").select(
+            "event_id", F.timestamp_seconds("at").alias("ts"), "event_type").coalesce(1).write.mode("append").parquet(folder + "/in")
+    schema = spark.read.parquet(folder + "/in").schema
+    stream = L.read_events(spark, folder + "/in", schema, "parquet", files_per_trigger=1)
+    L.run_to_end(L.to_batches(stream, L.partial_window_counts(folder + "/out"), folder + "/check", once=True))
+    totals = L.window_totals(spark, folder + "/out")
+    assert sorted(r.n for r in totals.collect()) == [1, 1, 1, 2]
