@@ -24,60 +24,110 @@ def _land(df: DataFrame, path: str, array: str, item: Column) -> str:
     return path
 
 
+def _publish(df: DataFrame, path: str, array: str, item: Column) -> str:
+    """As feeds publish them: one document a day with many items, over many lines, in a file of its own."""
+    days = df.groupBy(F.to_date("ts").alias("day")).agg(F.collect_list(item).alias(array))
+    days.select(F.to_json(F.struct(array), {"pretty": "true"}).alias("value")).write.option(
+        "maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def _point() -> Column:
     return F.struct(F.when(F.col("lat").isNotNull(), F.array("lon", "lat")).alias("coordinates"))
 
 
-def _land_usgs(i: Inputs) -> str:
-    item = F.struct(
+def _usgs_item() -> Column:
+    return F.struct(
         F.col("event_id").alias("id"),
         F.struct("title", F.col("text").alias("place"), F.unix_millis("ts").alias("time")).alias("properties"),
         _point().alias("geometry"))
-    return _land(i.canonical, scratch_path(i.spark, "usgs"), "features", item)
 
 
-@query("s01_usgs_feed", "SELECT event_id, 'usgs' AS source, title, text, lat, lon, "
-                        "CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS ts FROM typed")
+def _land_usgs(i: Inputs) -> str:
+    return _land(i.canonical, scratch_path(i.spark, "usgs"), "features", _usgs_item())
+
+
+_USGS = ("SELECT event_id, 'usgs' AS source, title, text, lat, lon, CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS ts "
+         "FROM typed")
+_EONET = ("SELECT event_id, 'eonet' AS source, title, text, lat, lon, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts "
+          "FROM typed")
+_RELIEFWEB = ("SELECT event_id, 'reliefweb' AS source, title, text, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, country "
+              "FROM typed")
+_GDACS = ("SELECT event_id, 'gdacs' AS source, title, text, lat, lon, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, "
+          "country FROM typed")
+
+
+@query("s01_usgs_feed", _USGS)
 def _(i: Inputs) -> DataFrame:
     return S.load_usgs(i.spark, _land_usgs(i), multi_line=False).drop("country", "raw_json")
 
 
-@query("s02_eonet_feed", "SELECT event_id, 'eonet' AS source, title, text, lat, lon, "
-                         "CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM typed")
+@query("s01_usgs_published", _USGS)
 def _(i: Inputs) -> DataFrame:
+    path = _publish(i.canonical, scratch_path(i.spark, "usgs"), "features", _usgs_item())
+    return S.load_usgs(i.spark, path).drop("country", "raw_json")
+
+
+def _eonet_item() -> Column:
     def geometry(shift: int) -> Column:
         at = F.date_format(F.col("ts") + F.make_interval(days=F.lit(shift)), ISO)
         spot = F.when(F.col("lat").isNotNull(), F.array(F.col("lon") + shift, F.col("lat") + shift))
         return F.struct(spot.alias("coordinates"), at.alias("date"))
 
-    item = F.struct(F.col("event_id").alias("id"), "title", F.col("text").alias("description"),
+    return F.struct(F.col("event_id").alias("id"), "title", F.col("text").alias("description"),
                     F.array(geometry(2), geometry(0), geometry(1)).alias("geometry"))
-    path = _land(i.canonical, scratch_path(i.spark, "eonet"), "events", item)
+
+
+@query("s02_eonet_feed", _EONET)
+def _(i: Inputs) -> DataFrame:
+    path = _land(i.canonical, scratch_path(i.spark, "eonet"), "events", _eonet_item())
     return S.load_eonet(i.spark, path, multi_line=False).drop("country", "raw_json")
 
 
-@query("s03_reliefweb_feed", "SELECT event_id, 'reliefweb' AS source, title, text, "
-                             "CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, country FROM typed")
+@query("s02_eonet_published", _EONET)
 def _(i: Inputs) -> DataFrame:
-    item = F.struct(F.col("event_id").cast("long").alias("id"), F.struct(
+    path = _publish(i.canonical, scratch_path(i.spark, "eonet"), "events", _eonet_item())
+    return S.load_eonet(i.spark, path).drop("country", "raw_json")
+
+
+def _reliefweb_item() -> Column:
+    return F.struct(F.col("event_id").cast("long").alias("id"), F.struct(
         "title", F.col("text").alias("body-html"), F.struct(F.date_format("ts", ISO).alias("created")).alias("date"),
         F.struct(F.col("country").alias("iso3")).alias("primary_country")).alias("fields"))
-    path = _land(i.canonical, scratch_path(i.spark, "reliefweb"), "data", item)
+
+
+@query("s03_reliefweb_feed", _RELIEFWEB)
+def _(i: Inputs) -> DataFrame:
+    path = _land(i.canonical, scratch_path(i.spark, "reliefweb"), "data", _reliefweb_item())
     return S.load_reliefweb(i.spark, path, multi_line=False).drop("lat", "lon", "raw_json")
 
 
-@query("s04_gdacs_feed", "SELECT event_id, 'gdacs' AS source, title, text, lat, lon, "
-                         "CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, country FROM typed")
+@query("s03_reliefweb_published", _RELIEFWEB)
 def _(i: Inputs) -> DataFrame:
-    item = F.struct(F.struct(
+    path = _publish(i.canonical, scratch_path(i.spark, "reliefweb"), "data", _reliefweb_item())
+    return S.load_reliefweb(i.spark, path).drop("lat", "lon", "raw_json")
+
+
+def _gdacs_item() -> Column:
+    return F.struct(F.struct(
         F.col("event_id").alias("eventid"), F.col("title").alias("name"), F.col("text").alias("description"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fromdate"), F.col("country").alias("iso3"),
     ).alias("properties"), _point().alias("geometry"))
+
+
+@query("s04_gdacs_feed", _GDACS)
+def _(i: Inputs) -> DataFrame:
     twice = i.canonical.unionByName(i.canonical)
-    path = _land(twice, scratch_path(i.spark, "gdacs"), "features", item)
+    path = _land(twice, scratch_path(i.spark, "gdacs"), "features", _gdacs_item())
     return S.load_gdacs(i.spark, path, multi_line=False).drop("raw_json")
 
 
+@query("s04_gdacs_published", _GDACS)
+def _(i: Inputs) -> DataFrame:
+    twice = i.canonical.unionByName(i.canonical)
+    return S.load_gdacs(i.spark, _publish(twice, scratch_path(i.spark, "gdacs"), "features", _gdacs_item())).drop("raw_json")
+
+
 @query("s05_gdelt_feed", "SELECT event_id, 'gdelt' AS source, concat_ws(' - ', title, source, country) AS title, text, lat, "
                          "lon, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, country FROM typed")
 def _(i: Inputs) -> DataFrame:
