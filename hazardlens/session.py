@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -20,6 +21,7 @@ def build_session(app_name: str = "hazardlens", master: str | None = None, **con
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # State of the streaming de-duplication lives off-heap and survives executor loss via the checkpoint.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -42,9 +44,29 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location below the shared folder for one written table."""
-    return f"{shared_dir(spark)}/hazardlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location below the shared folder for one written table. It lasts as long as this application,
+    unless :func:`remove_scratch` is called before."""
+    path = f"{shared_dir(spark)}/hazardlens/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete every table that this application wrote to a scratch path."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+        except Exception:   # the JVM is gone: nothing can be deleted any more
+            return
+
+
+atexit.register(remove_scratch)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
