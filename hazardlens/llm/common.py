@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hazardlens.session import shared_dir
+from hazardlens.session import checkpointed
+
+__all__ = ["WORD", "checkpointed", "fresh", "let", "ordered_index", "partitions_of", "slices", "table", "with_row_id"]
 
 #: Fixed value: a word is a run of anything but space and the ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,14 +19,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there, without its lineage."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def fresh(columns: list[str], base: str) -> str:
     """A column name that none of ``columns`` has (names compare without case)."""
     taken = {c.lower() for c in columns}

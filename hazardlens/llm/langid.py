@@ -30,7 +30,7 @@ SLOTS_LOG2 = 20     #: log2 of the slots of the filters
 HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)   # odd multipliers, any will do
 FEW_GRAMS = 20      #: a text of fewer n-grams is too short to be told foreign
 UNKNOWN = "und"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes that count as text: ASCII letters and everything beyond ASCII. Others are blanks.
 _CLASS = np.array([0 if b == 0 else b if chr(b).isalpha() or b >= 128 else 32 for b in range(256)], np.uint8)

@@ -18,9 +18,9 @@ import regex
 from hazardlens.llm.common import slices
 
 END_OF_DOCUMENT = 1
-#: Words and letter runs that one worker remembers.
-CACHE_WORDS = 1_000_000
-SLICE_BYTES = 12 << 20
+#: Words, and letter runs, that one worker remembers since the last and the last but one turnover.
+CACHE_WORDS = 120_000
+SLICE_BYTES = 6 << 20
 
 #: Fixed value: how the tokenizer file splits a word into pieces.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -41,6 +41,26 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Recent(dict):
+    """A bounded cache: what was used since the last turnover, and behind it what was used before."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.before = limit, {}
+
+    def __missing__(self, key):
+        found = self.before.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class WordTokens:
     """Ids of words, as little-endian unsigned 32-bit numbers in bytes."""
 
@@ -50,17 +70,14 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        found = self.pieces[piece]
         if found is None:
             shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
             found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            self.pieces[piece] = found
+            self.pieces.put(piece, found)
         return found
 
     def _word(self, word: str) -> bytes:
@@ -68,13 +85,11 @@ class WordTokens:
             found = b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
         else:
             found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
-        self.words[word] = found
+        self.words.put(word, found)
         return found
 
     def of_words(self, words: list[str]) -> list[bytes]:
-        known = list(map(self.words.get, words))
+        known = list(map(self.words.__getitem__, words))
         for i, found in enumerate(known):
             if found is None:
                 known[i] = self._word(words[i])

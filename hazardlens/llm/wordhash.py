@@ -44,7 +44,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     n = min(size, len(hashes))
     if not n:
         return np.empty(0, np.uint64)
-    total = np.full(len(hashes) - n + 1, np.uint64(n) * _MIX)
+    total = np.full(len(hashes) - n + 1, np.uint64(n * int(_MIX) % (1 << 64)))
     for i in range(n):
         total += hashes[i:len(hashes) - n + 1 + i] * _PLACES[i]
     return np.unique(mixed(total))
