@@ -35,9 +35,9 @@ THRESHOLD = 0.8
 HASHES, BANDS = 128, 32
 STEP = 16               #: MinHash values compared before each look at the posterior
 TOLERANCE = 1e-6
-BLOCK_ROWS = 256        #: members of a bucket or group that one task compares at once
+BLOCK_ROWS = 512        #: members of a bucket or group that one task compares at once
 GUEST_ROWS = 4096       #: documents that one task verifies against a block
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _A, _B = (np.random.default_rng(7).integers(1, 1 << 63, (2, HASHES, 1), dtype=np.uint64) | np.uint64(1))
 _SALTS = np.random.default_rng(8).integers(1, 1 << 63, (BANDS, HASHES // BANDS), dtype=np.uint64) | np.uint64(1)
@@ -216,18 +216,22 @@ class _Block:
 
         self.parts = np.arange(len(sets))
 
-    def links(self, row: int, items: np.ndarray, threshold: float) -> tuple[int, list[int]]:
-        """Linked documents (copies count), and one linked row for each part of the block that this connects."""
+    def links(self, row: int, items: np.ndarray, threshold: float, tells: bool) -> tuple[int, list[int]]:
+        """Linked documents (copies count), and if it ``tells`` one linked row for each part of the block that this
+        connects."""
         first, last = np.searchsorted(self.items, items), np.searchsorted(self.items, items, side="right")
         spread = np.repeat(first - np.concatenate([[0], np.cumsum(last - first)[:-1]]), last - first)
         both = np.bincount(self.owner[spread + np.arange(len(spread))], minlength=len(self.sizes))
         linked = np.flatnonzero((both >= threshold * (len(items) + self.sizes - both)) & (self.rows != row))
         if not len(linked):
             return 0, []
+        count = int(self.copies[linked].sum())
+        if not tells:
+            return count, []
         parts, at = np.unique(self.parts[linked], return_index=True)
         if len(parts) > 1:
             self.parts[np.isin(self.parts, parts)] = parts[0]
-        return int(self.copies[linked].sum()), self.rows[linked[at]].tolist()
+        return count, self.rows[linked[at]].tolist()
 
 
 def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -241,12 +245,14 @@ def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
             hosts.append(_Block(part.filter(pa.array(guest == 0))))
         coming = part.filter(pa.array(guest == 1))
         rows, counts, others = [], [], []
-        for row, items in zip(coming.column("row_id").to_pylist(), coming.column("items").to_pylist()):
+        for row, tells, items in zip(*(coming.column(c).to_pylist() for c in ("row_id", "tells", "items"))):
             for block in hosts:
-                count, linked = block.links(row, np.frombuffer(items, np.uint64), threshold)
-                rows += [row] * len(linked)
-                counts += [count, *[0] * (len(linked) - 1)] if linked else []
-                others += linked
+                count, linked = block.links(row, np.frombuffer(items, np.uint64), threshold, tells)
+                if count:
+                    linked = linked or [None]
+                    rows += [row] * len(linked)
+                    counts += [count, *[0] * (len(linked) - 1)]
+                    others += linked
         yield pa.RecordBatch.from_pydict({"row_id": pa.array(rows, pa.int64()), "other": pa.array(others, pa.int64()),
                                           "links": pa.array(counts, pa.int64())})
 
@@ -313,19 +319,20 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = checkpointed(source.select("row_id", "text").join(families.select("row_id"), "row_id", "left_semi").mapInArrow(
         partial(_sets, size=shingle_words), "row_id long, items binary"))
     cut = families.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn(
-        "parts", F.ceil(F.col("n") / GUEST_ROWS).cast("int"))
+        "parts", F.ceil(F.col("n") / GUEST_ROWS).cast("int")).withColumn(
+        "home", _spread(F.col("row_id"), F.col("blocks"), 3))   # of two blocks, only the earlier one's guests tell links
     guests = cut.withColumn("part", _spread(F.col("row_id"), F.col("parts"), 2)).select(
         "row_id", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "part",
-        F.lit(1).alias("guest"))
-    hosts = cut.withColumn("block", _spread(F.col("row_id"), F.col("blocks"), 3)).select(
-        "row_id", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.lit(0).alias("guest"))
+        F.lit(1).alias("guest"), "home").withColumn("tells", F.col("block") >= F.col("home")).drop("home")
+    hosts = cut.select(
+        "row_id", "comp", F.col("home").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("guest"), F.lit(False).alias("tells"))
     held = sets.join(firsts.select("row_id", "copies"), "row_id")
     tasks = _in_order(guests.unionByName(hosts).join(held, "row_id"), ["comp", "block", "part"], "guest").select(
-        "comp", "block", "part", "guest", "row_id", "copies", "items")
+        "comp", "block", "part", "guest", "tells", "row_id", "copies", "items")
     counted = checkpointed(tasks.mapInArrow(
         partial(_count_links, threshold=threshold), "row_id long, other long, links long"))
-    classes = components(counted.select(F.col("row_id").alias("a"), F.col("other").alias("b")))
+    classes = components(counted.where("other IS NOT NULL").select(F.col("row_id").alias("a"), F.col("other").alias("b")))
     groups = counted.groupBy("row_id").agg(F.sum("links").alias("links")).join(
         classes.select(F.col("id").alias("row_id"), F.col("comp").alias("group")), "row_id")
     stands = firsts.join(groups, "row_id", "left").select(
