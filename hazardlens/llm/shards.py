@@ -29,6 +29,8 @@ SEQ_TOKENS = 512
 #: Bytes of text for each shard, on average.
 SHARD_BYTES = 64 << 20
 ROUNDS = 6
+#: Words that a worker remembers (see ``tokens``): this job holds little else.
+CACHE_WORDS = 280_000
 #: A byte of text gives three tokens at most: lower case and normalising can lengthen a character that much.
 TOKENS_PER_BYTE = 3
 #: Before the tokens of a record: scattered number and document (signed 64 bits), shard, piece and length (signed 32).
@@ -86,7 +88,7 @@ def _records(batches: Iterator[pa.RecordBatch], path: str, seq_tokens: int, widt
              firsts: dict[int, int]) -> Iterator[pa.RecordBatch]:
     size = stride(seq_tokens)
     free = firsts.get(TaskContext.get().partitionId(), 0)
-    for batch, documents in document_tokens(batches, path):
+    for batch, documents in document_tokens(batches, path, cache_words=CACHE_WORDS):
         counts = np.array([-(-len(ids) // seq_tokens) for ids in documents])
         reserved = batch.column("reserved").to_numpy()
         if (counts > reserved).any():

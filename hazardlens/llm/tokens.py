@@ -20,7 +20,8 @@ from hazardlens.llm.common import slices
 END_OF_DOCUMENT = 1
 #: Words, and letter runs, that one worker remembers since the last and the last but one turnover.
 CACHE_WORDS = 120_000
-SLICE_BYTES = 6 << 20
+#: Texts whose words are told apart together, words whose ids are gathered together, texts handed on together.
+SLICE_BYTES, PART_WORDS, OUTPUT_BYTES = 32 << 20, 500_000, 4 << 20
 
 #: Fixed value: how the tokenizer file splits a word into pieces.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -64,13 +65,13 @@ class _Recent(dict):
 class WordTokens:
     """Ids of words, as little-endian unsigned 32-bit numbers in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.words, self.pieces = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)
+        self.words, self.pieces = _Recent(cache_words), _Recent(cache_words)
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces[piece]
@@ -95,39 +96,47 @@ class WordTokens:
                 known[i] = self._word(words[i])
         return known
 
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts`` (no nulls) end to end, and where each text begins (one more than texts)."""
+    def documents(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each of ``texts`` (no nulls). Words are told apart over all of them, ids are gathered in parts."""
         split = pc.ascii_split_whitespace(texts)
         begins = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
+        del split
         known = self.of_words(coded.dictionary.to_pylist())
         which = coded.indices.to_numpy(zero_copy_only=False)
         lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
         sources = np.concatenate([[0], np.cumsum(lengths)])
-        each = lengths[which]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        take = np.repeat(sources[which] - ends[:-1], each) + np.arange(ends[-1])
-        return np.frombuffer(b"".join(known), "<u4")[take], ends[begins]
+        pool = np.frombuffer(b"".join(known), "<u4")
+        del known, coded
+        for start, stop in slices(np.diff(begins).tolist(), PART_WORDS):
+            words = which[begins[start]:begins[stop]]
+            each = lengths[words]
+            ends = np.concatenate([[0], np.cumsum(each)])
+            ids = pool[np.repeat(sources[words] - ends[:-1], each) + np.arange(ends[-1])]
+            places = ends[begins[start:stop + 1] - begins[start]]
+            for a, b in zip(places[:-1], places[1:]):
+                yield ids[a:b]
 
 
 _LOADED: dict[str, WordTokens] = {}
 
 
-def loaded(path: str) -> WordTokens:
+def loaded(path: str, cache_words: int = CACHE_WORDS) -> WordTokens:
     """The tokenizer of this worker."""
     if path not in _LOADED:
-        _LOADED[path] = WordTokens(path)
+        _LOADED[path] = WordTokens(path, cache_words)
     return _LOADED[path]
 
 
-def document_tokens(batches: Iterator[pa.RecordBatch], path: str, column: str = "text",
+def document_tokens(batches: Iterator[pa.RecordBatch], path: str, column: str = "text", cache_words: int = CACHE_WORDS,
                     ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the ids of each document, the end id included. Null text is empty."""
-    tokens = loaded(path)
+    tokens, end = loaded(path, cache_words), np.array([END_OF_DOCUMENT], "<u4")
     for batch in batches:
         texts = pc.fill_null(batch.column(column), "")
-        for start, stop in slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
-            ids, begins = tokens.texts(texts.slice(start, stop - start))
-            end = np.array([END_OF_DOCUMENT], "<u4")
-            yield batch.slice(start, stop - start), [
-                np.concatenate([ids[a:b], end]) for a, b in zip(begins[:-1], begins[1:])]
+        sizes = pc.binary_length(texts).to_pylist()
+        for start, stop in slices(sizes, SLICE_BYTES):
+            ids = tokens.documents(texts.slice(start, stop - start))
+            for first, last in slices(sizes[start:stop], OUTPUT_BYTES):
+                yield batch.slice(start + first, last - first), [
+                    np.concatenate([next(ids), end]) for _ in range(last - first)]

@@ -24,9 +24,10 @@ def brute_force(texts):
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=5))
 def test_ids_are_the_tokenizers(texts):
     texts = [*texts, "It's <|endoftext|> ĲǅİΣΑΣ é a b x\x1cy 12½ don'T", "  \n"]
-    ids, begins = loaded(default_tokenizer()).texts(pa.array(texts))
-    for text, a, b, want in zip(texts, begins[:-1], begins[1:], brute_force(texts)):
-        assert ids[a:b].tolist() == want[:-1], text
+    found = list(loaded(default_tokenizer()).documents(pa.array(texts)))
+    assert len(found) == len(texts)
+    for text, ids, want in zip(texts, found, brute_force(texts)):
+        assert ids.tolist() == want[:-1], text
 
 
 @settings(max_examples=100, deadline=None)
