@@ -16,17 +16,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlens.llm.common import checkpointed, fresh
 
-SAMPLE_DOCS = 20_000    #: expected number of labelled documents that are learned from
+SAMPLE_DOCS = 10_000    #: expected number of labelled documents that are learned from
 FEATURES = 3_000        #: features kept, by how surely they go with label 1
 MIN_DOCS, MIN_SURETY = 4, 3.0
 STARTS, ENDS = range(2, 8), range(3, 6)
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+STEPS, RATE, DECAY = 300, 0.05, 1e-4
 CACHE_WORDS = 400_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -116,16 +117,20 @@ def _feature_rows(counts: dict[str, list[int]]) -> pa.RecordBatch:
 
 def _bag_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bags = [[sorted(b) for b in model.bags(t)] for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(bags, pa.list_(pa.list_(pa.int32())))],
-                                         names=["toxic", "bags"])
+        bags = [model.bags(t) for t in batch.column("text").to_pylist()]
+        sizes = pa.array([[len(b) for b in bag] for bag in bags], pa.list_(pa.int32()))
+        found = pa.array([[f for b in bag for f in sorted(b)] for bag in bags], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("draw"), sizes, found],
+                                         names=["toxic", "draw", "sizes", "found"])
 
 
-def fit(bags: list[list[list[int]]], toxic: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias that maximise the likelihood of the labels under the noisy-or (Adam, fixed steps)."""
-    sentence_of = np.repeat(np.arange(sum(map(len, bags))), [len(s) for b in bags for s in b])
-    feature_of = np.array([f for b in bags for s in b for f in s], np.int64)
-    doc_of = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+def fit(sentences: np.ndarray, sizes: np.ndarray, feature_of: np.ndarray, toxic: np.ndarray,
+        start: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias that maximise the likelihood of the labels under the noisy-or (Adam, fixed steps).
+
+    ``sentences``: how many each document has; ``sizes``: how many features each sentence has; then the features."""
+    sentence_of = np.repeat(np.arange(len(sizes)), sizes)
+    doc_of = np.repeat(np.arange(len(sentences)), sentences)
     bias, n = -4.0, len(start)
     weights = start.copy()
     if not len(doc_of):
@@ -135,9 +140,9 @@ def fit(bags: list[list[list[int]]], toxic: np.ndarray, start: np.ndarray) -> tu
     for step in range(1, STEPS + 1):
         logit = bias + np.bincount(sentence_of, weights[feature_of], minlength=len(doc_of))
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        clean = np.exp(np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(bags)))
+        clean = np.exp(np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(sentences)))
         blame = clean[doc_of] / np.maximum(1 - clean[doc_of], 1e-9)
-        slope = np.where(label == 1, -p * blame, p) / len(bags)
+        slope = np.where(label == 1, -p * blame, p) / len(sentences)
         gradient = np.append(np.bincount(feature_of, slope[sentence_of], minlength=n) + DECAY * weights, slope.sum())
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient ** 2
         move = RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
@@ -157,10 +162,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = checkpointed(ids.distinct().join(marked, "id").withColumn(
         "draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))))
     limit = int(min(1.0, sample_docs / max(known.count(), 1)) * (1 << 30))
-    drawn = known.where(F.col("draw") < limit).select("id", "toxic")
+    drawn = known.where(F.col("draw") < limit).select("id", "toxic", "draw")
     sample = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(drawn), "id").select("text", "toxic")
+        F.broadcast(drawn), "id").select("text", "toxic", "draw")
     n, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not positive or positive == n:
         return Model({}, np.zeros(0), 0.0)
@@ -173,11 +178,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = chosen.toArrow()
     names = rows.column("feature").to_pylist()
     model = Model({f: i for i, f in enumerate(names)}, np.zeros(len(names)), 0.0)
-    held = sample.mapInArrow(partial(_bag_rows, model=model), "toxic int, bags array<array<int>>").toArrow()
-    order = sorted(range(len(held)), key=lambda i: str(held.column("bags")[i]))     # the same sums in every run
-    held = held.take(order)
-    model.weights, model.bias = fit(held.column("bags").to_pylist(), held.column("toxic").to_numpy(),
-                                    rows.column("odds").to_numpy() * 0.5)
+    held = sample.mapInArrow(partial(_bag_rows, model=model),
+                             "toxic int, draw long, sizes array<int>, found array<int>").toArrow()
+    held = held.sort_by("draw").combine_chunks()     # the same sums in every run
+    sizes, found = (held.column(c).combine_chunks() for c in ("sizes", "found"))
+    if isinstance(sizes, pa.ChunkedArray):          # no rows at all
+        return model
+    model.weights, model.bias = fit(pc.list_value_length(sizes).to_numpy(), pc.list_flatten(sizes).to_numpy(),
+                                    pc.list_flatten(found).to_numpy().astype(np.int64),
+                                    held.column("toxic").to_numpy(), rows.column("odds").to_numpy() * 0.5)
     return model
 
 
