@@ -7,6 +7,9 @@ rate; the language with the highest corrected count wins.
 
 Learning counts n-grams in Spark over a bounded sample of labelled documents; ``sample_docs`` is the expected
 number per language. The filters are a few MB, however large the corpus, and travel with the task.
+
+Whether a text is in a known language at all is told by its score. The least score of each language follows from
+labelled documents that were not learned from (:func:`least_scores`).
 """
 
 from __future__ import annotations
@@ -29,6 +32,10 @@ SAMPLE_DOCS = 4_000  #: expected number of labelled documents per language that
 SLOTS_LOG2 = 20     #: log2 of the slots of the filters
 HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)   # odd multipliers, any will do
 FEW_GRAMS = 20      #: a text of fewer n-grams is too short to be told foreign
+MIN_SCORE = 0.2     #: least score where too few labelled documents are held out to derive one
+HELD_OUT = 4        #: one labelled text in so many is held out to derive the least scores
+MIN_HELD_OUT = 20   #: different held-out texts that a language needs for a least score of its own
+LOW_SHARE, MARGIN = 0.01, 0.25  #: a least score is this quantile of the held-out scores minus the margin
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
 
@@ -80,21 +87,30 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                   "gram": grams.astype(np.int64), "n": counts.astype(np.int64)})
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_docs: int = SAMPLE_DOCS, top_grams: int = TOP_GRAMS) -> Model:
-    """Filters of all languages in ``labelled``; rows without text or language teach nothing.
-
-    The sample is chosen by a hash of the id, so it is the same in every run."""
+def _drawn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
+           sample_docs: int) -> tuple[DataFrame, list[str]]:
+    """The sample (lang, text) of the labelled rows, and their languages, most frequent first."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         F.pmod(F.xxhash64(id_col), F.lit(1 << 30)).alias("draw"))
     sizes = dict(known.groupBy("lang").count().collect())
     languages = sorted(sizes, key=lambda name: (-sizes[name], name))
     if not languages:
-        return Model([], np.zeros((1, 1 << SLOTS_LOG2), np.uint64), np.zeros(0))
+        return known.select("lang", "text"), languages
     limit = F.create_map(*[F.lit(x) for name in languages
                            for x in (name, int(min(1.0, sample_docs / sizes[name]) * (1 << 30)))])
-    counts = known.where(F.col("draw") < limit[F.col("lang")]).select("lang", "text").mapInArrow(
+    return known.where(F.col("draw") < limit[F.col("lang")]).select("lang", "text"), languages
+
+
+def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          sample_docs: int = SAMPLE_DOCS, top_grams: int = TOP_GRAMS) -> Model:
+    """Filters of all languages in ``labelled``; rows without text or language teach nothing.
+
+    The sample is chosen by a hash of the id, so it is the same in every run."""
+    sample, languages = _drawn(labelled, id_col, text_col, lang_col, sample_docs)
+    if not languages:
+        return Model([], np.zeros((1, 1 << SLOTS_LOG2), np.uint64), np.zeros(0))
+    counts = sample.mapInArrow(
         _count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.where("n > 1").withColumn("place", place).where(F.col("place") <= top_grams)
@@ -145,7 +161,7 @@ def classify(texts: list[str | None], model: Model) -> tuple[list[str], list[flo
 
 
 def _classified(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, names: tuple[str, str],
-                keep_from: float | None) -> Iterator[pa.RecordBatch]:
+                keep_from: dict[str, float] | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         languages, scores, sizes = classify(batch.column(text_col).to_pylist(), model)
         if keep_from is None:
@@ -153,7 +169,7 @@ def _classified(batches: Iterator[pa.RecordBatch], model: Model, text_col: str,
                 [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, *names])
         else:
-            yield batch.filter(pa.array([x != UNKNOWN and (s >= keep_from or n < FEW_GRAMS)
+            yield batch.filter(pa.array([x != UNKNOWN and (s >= keep_from.get(x, MIN_SCORE) or n < FEW_GRAMS)
                                          for x, s, n in zip(languages, scores, sizes)], pa.bool_()))
 
 
@@ -166,10 +182,40 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_name: st
     return docs.mapInArrow(partial(_classified, model=model, text_col=text_col, names=names, keep_from=None), schema)
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.2) -> DataFrame:
+def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        languages, scores, sizes = classify(batch.column("text").to_pylist(), model)
+        told = pa.RecordBatch.from_arrays(
+            [batch.column("key"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
+            names=["key", "lang", "score"])
+        yield told.filter(pa.array([x != UNKNOWN and n >= FEW_GRAMS for x, n in zip(languages, sizes)], pa.bool_()))
+
+
+def least_scores(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                 sample_docs: int = SAMPLE_DOCS, top_grams: int = TOP_GRAMS) -> dict[str, float]:
+    """The least score that a text in each language of ``labelled`` gets, for :func:`keep_known`.
+
+    One text in ``HELD_OUT``, chosen by a hash of the text so that copies stay together, is scored by a model of the
+    others; a language's least score is the ``LOW_SHARE`` quantile over the different texts told to be in it, minus
+    ``MARGIN``. A language with fewer than ``MIN_HELD_OUT`` of them is left out."""
+    key = F.xxhash64(F.col(text_col).cast("string"))
+    held_out = F.pmod(key, F.lit(HELD_OUT)) == 0
+    model = learn(labelled.where(~held_out), id_col, text_col, lang_col, sample_docs, top_grams)
+    sample, _ = _drawn(labelled.where(held_out), id_col, text_col, lang_col, sample_docs)
+    scores = sample.select("text", F.xxhash64("text").alias("key")).mapInArrow(
+        partial(_scores, model=model), "key long, lang string, score double").distinct()
+    low = scores.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("score", LOW_SHARE).alias("low"))
+    return {r.lang: max(MIN_SCORE, r.low - MARGIN) for r in low.collect() if r.n >= MIN_HELD_OUT}
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text",
+               min_score: float | dict[str, float] = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text is in one of the model's languages: not ``und``, and at least ``min_score``
-    of its n-grams known unless there are too few to tell."""
-    run = partial(_classified, model=model, text_col=text_col, names=("", ""), keep_from=min_score)
+    of its n-grams known unless there are too few to tell.
+
+    ``min_score`` may differ by language (see :func:`least_scores`); languages that it leaves out have ``MIN_SCORE``."""
+    least = min_score if isinstance(min_score, dict) else dict.fromkeys(model.languages, min_score)
+    run = partial(_classified, model=model, text_col=text_col, names=("", ""), keep_from=least)
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hazardlens.llm import langid
 from hazardlens.llm.common import table
 from hazardlens.llm.queries import op2_language_filters
@@ -73,3 +74,36 @@ def test_odd_rows(stored, model):
 def test_nothing_learned(documents):
     empty = langid.learn(documents.where(F.lit(False)))
     assert {r.lang_pred for r in langid.predict(documents, empty).collect()} == {"und"}
+
+
+#: Plain sentences in languages that are not in ``documents.lang`` but related to those that are.
+FOREIGN = [
+    "Il governo ha annunciato ieri che le nuove misure contro la siccità entreranno in vigore nella prossima settimana.",
+    "O governo anunciou ontem que as novas medidas contra a seca vão entrar em vigor na próxima semana em todo o país.",
+    "De regering heeft gisteren aangekondigd dat de nieuwe maatregelen tegen de droogte volgende week van kracht worden.",
+    "Regeringen meddelade i går att de nya åtgärderna mot torkan börjar gälla nästa vecka i alla delar av landet.",
+    "El govern va anunciar ahir que les noves mesures contra la sequera entraran en vigor la setmana que ve.",
+    "Rząd ogłosił wczoraj, że nowe środki przeciwko suszy wejdą w życie w przyszłym tygodniu we wszystkich regionach.",
+]
+
+
+def test_foreign_texts_go_and_clean_ones_stay(spark, folder):
+    given = table(spark, "/root/testdata/sf0.1", "documents")
+    held_out = langid.remainder(F.col("doc_id"), 5) == 0        # neither learned from nor used for the least scores
+    learned = given.where(~held_out)
+    least = langid.least_scores(learned)
+    assert set(least) == {r.lang for r in given.select("lang").distinct().collect()}
+    assert all(0.5 < s < 0.9 for s in least.values())
+    model = langid.learn(learned)
+    clean = given.where(held_out & F.col("text").rlike("[A-Za-z]"))
+    assert langid.keep_known(clean, model, min_score=least).count() == clean.count()
+    rows = [(-1 - i, text, None, "x", len(text)) for i, text in enumerate(FOREIGN)]
+    spark.createDataFrame(rows, given.schema).unionByName(given).write.parquet(f"{folder}/foreign")
+    kept = corpus_pipeline.known_language(spark, spark.read.parquet(f"{folder}/foreign"), folder)
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() == langid.keep_known(given, langid.learn(given)).count()
+
+
+def test_few_held_out_texts_leave_the_fixed_score(spark, documents):
+    assert langid.least_scores(documents.limit(30)) == {}
+    assert langid.least_scores(documents.where(F.lit(False))) == {}
