@@ -79,7 +79,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mix = mixing.plan_mix(table(spark, folder, "documents"))
+    mix = mixing.plan_mix(table(spark, folder, "documents"), blocks_per_doc=8)      # as in MIX_CTES
     return mix.plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -133,7 +133,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
-#: The mix of a table ``docs`` (doc_id, source, text) with the defaults of :mod:`hazardlens.llm.mixing`; gives
+#: The mix of a table ``docs`` (doc_id, source, text) as in :mod:`hazardlens.llm.mixing` with eight blocks per document; gives
 #: ``mix`` (doc_id, size, source_size, target, taken).
 MIX_CTES = r"""
 sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

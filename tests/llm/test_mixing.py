@@ -103,5 +103,24 @@ def test_mixed_rows(stored):
     assert words == sum(r.taken for r in mixing.plan_mix(docs).plan.collect())
 
 
+@pytest.mark.parametrize("long_docs", [3, 12])
+def test_tiny_sources_beside_very_long_documents(stored, long_docs):
+    rows = [(i, "word " * (20_000 + i), "long" if i % 2 else "other") for i in range(long_docs)]
+    rows += [(100, "a single short line", "tiny"), (101, "one", "word"), (102, "two short documents", "zwei"), (103, "of few words", "zwei")]
+    docs = stored(rows, "doc_id long, text string, source string")
+    sizes, source = defaultdict(int), {r[0]: r[2] for r in rows}
+    for _, text, name in rows:
+        sizes[name] += len(WORD.findall(text))
+    names = sorted(sizes)
+    want = dict(zip(names, fair_targets([sizes[n] for n in names], [i % 3 + 1 for i in range(len(names))])))
+    taken, mixed = defaultdict(int), defaultdict(int)
+    for r in mixing.plan_mix(docs).plan.collect():
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[n] - want[n]) <= 1 for n in names), (dict(taken), want)
+    for r in mixing.mixed_documents(docs).collect():
+        mixed[r.source] += len(WORD.findall(r.text))
+    assert mixed == taken and set(mixed) == set(names)
+
+
 def test_empty_table(documents):
     assert mixing.plan_mix(documents.where("doc_id < 0")).plan.count() == 0
