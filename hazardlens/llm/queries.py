@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hazardlens.llm import blocknames, chat, hostrules, jaccard, langid, mixing, packing, secretscan, shards, toxicity
+from hazardlens.llm import (
+    blocknames, chat, hostrules, jaccard, langid, mixing, packing, repair, secretscan, shards, toxicity,
+)
 from hazardlens.llm.common import table
 from hazardlens.session import scratch_path
 
@@ -87,6 +89,10 @@ def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return blocknames.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_audit_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_summary(repair.damaged(table(spark, folder, "conversations")), present_col="present")
+
+
 OP4_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
@@ -189,7 +195,7 @@ FROM d JOIN g USING (t)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (op1_secret_scan, op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules,
-             op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming)
+             op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming, op11_audit_repair)
     return {f.__name__: f for f in known} | {"pipeline": corpus_pipeline.run}
 
 
