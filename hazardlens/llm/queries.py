@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hazardlens.llm import (
-    blocknames, chat, hostrules, jaccard, langid, mixing, packing, repair, secretscan, shards, toxicity,
+    blocknames, chat, hostrules, jaccard, langid, manifest, mixing, packing, repair, secretscan, shards, toxicity,
 )
 from hazardlens.llm.common import table
 from hazardlens.session import scratch_path
@@ -93,6 +93,21 @@ def op11_audit_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_summary(repair.damaged(table(spark, folder, "conversations")), present_col="present")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    doc_id, chars = F.col("doc_id").cast("long"), F.col("n_chars").cast("decimal(38,0)")
+    leaf = lambda n: manifest.leaf_digest(doc_id, F.col("source"), F.col("lang"), n, F.col("text"))
+    tampered = (F.crc32(doc_id.cast("string").cast("binary")) % 7 == 0) & chars.isNotNull()
+    built = manifest.build(docs, F.col("lang"), doc_id, leaf(chars), F.struct(
+        doc_id.alias("doc_id"), F.when(tampered, leaf(chars + 1)).alias("tampered")))
+    proofs = manifest.prove(built).select("tree", "digest", "path", "payload.*")
+    root = F.lit(built.root)
+    found = proofs.join(built.trees.select("tree", F.col("digest").alias("subroot")), "tree").select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), manifest.path_digest(F.col("path")).alias("proof_sha256"),
+        manifest.folded(F.coalesce("tampered", "digest"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 OP4_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
@@ -195,7 +210,8 @@ FROM d JOIN g USING (t)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (op1_secret_scan, op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules,
-             op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming, op11_audit_repair)
+             op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming, op11_audit_repair,
+             op12_merkle_manifest)
     return {f.__name__: f for f in known} | {"pipeline": corpus_pipeline.run}
 
 
