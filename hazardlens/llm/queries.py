@@ -207,6 +207,92 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (t)
 """
 
+#: Unsigned CRC-32 of an ASCII string, bit by bit; fixed value: the polynomial.
+_CRC32_SQL = """xor(list_reduce(list_transform(range(0, 8 * length(SUBJECT)), lambda i: (ascii(SUBJECT[i // 8 + 1]) >> (i % 8)::INTEGER) & 1),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT), 4294967295)"""
+
+#: Repair states 0 to 3: nothing yet, after system, after user, after assistant. ``fit`` leads from each to the next.
+OP11_SQL = r"""
+WITH RECURSIVE fit(state, next) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+convs AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+given AS (SELECT conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(c.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+          FROM conversations c JOIN convs ON c.conv_id IS NOT DISTINCT FROM convs.conv_id),
+marked AS (SELECT *, CRC32 % 20 AS kind FROM given),
+damaged AS (SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM marked, range(2) r(i) WHERE kind <> 0 AND (i = 0 OR kind = 3)),
+o AS (SELECT *, row_number() OVER w AS k, lag(role[1]) OVER w || role[1] AS pair, count(*) OVER (PARTITION BY conv) AS n
+      FROM damaged WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                     WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 THEN 'd'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM o),
+facts AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                 count(*) FILTER (fault = 't') AS truncated,
+                 count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv),
+dp AS (SELECT conv, 0 AS k, state, best FROM convs, (VALUES (0, {'cost': 0, 'audit': ''}), (2, {'cost': 2, 'audit': 'I'}),
+                                                           (3, {'cost': 4, 'audit': 'II'})) s(state, best)
+       UNION ALL
+       SELECT conv, k + 1, state, min(best) FROM (
+           SELECT conv, k, unnest([to_state, a.next, b.next]) AS state,
+                  unnest([{'cost': cost, 'audit': audit}, {'cost': cost + 2, 'audit': audit || 'I'},
+                          {'cost': cost + 4, 'audit': audit || 'II'}]) AS best
+           FROM (SELECT dp.conv, dp.k, e.state AS to_state, best.cost + e.cost + CASE WHEN e.edit <> 'D' AND fault = 't' THEN 1 ELSE 0 END AS cost,
+                        best.audit || e.edit AS audit
+                 FROM dp JOIN f ON f.conv = dp.conv AND f.k = dp.k + 1 JOIN fit USING (state), LATERAL (
+                     SELECT 'D' AS edit, dp.state AS state, 3 AS cost
+                     UNION ALL SELECT 'R', fit.next, 2 WHERE fault NOT IN ('b', 'd')
+                     UNION ALL SELECT 'K', CASE WHEN role[1] = 's' THEN 1 ELSE fit.next END, 0 WHERE fault NOT IN ('b', 'd')
+                         AND (role[1] = 's' AND dp.state = 0 OR role[1] = CASE fit.next WHEN 2 THEN 'u' ELSE 'a' END)) e) moved
+           JOIN fit a ON a.state = to_state JOIN fit b ON b.state = a.next) GROUP BY conv, k, state),
+done AS (SELECT conv, min(best) AS best FROM dp JOIN (SELECT conv, coalesce(max(n), 0) AS k FROM convs LEFT JOIN o USING (conv)
+                                                      GROUP BY conv) USING (conv, k) WHERE state IN (0, 3) GROUP BY conv),
+letters AS (SELECT conv, i, best.audit[i] AS edit, length(replace(best.audit[:i], 'I', '')) AS k,
+                   length(replace(best.audit[:i], 'D', '')) - length(replace(best.audit, 'D', '')) % 2 AS place
+            FROM done, LATERAL (SELECT unnest(range(1, length(best.audit) + 1)) AS i)),
+repaired AS (SELECT l.conv, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                                       || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS said
+             FROM letters l LEFT JOIN f ON f.conv = l.conv AND f.k = l.k WHERE edit <> 'D' GROUP BY l.conv)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+       sha256(coalesce(said, '')) AS repaired_sha256
+FROM convs LEFT JOIN facts USING (conv) LEFT JOIN done USING (conv) LEFT JOIN repaired USING (conv)
+""".replace("CRC32", _CRC32_SQL.replace("SUBJECT", "key"))
+
+OP12_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, lang, n_chars, coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                            AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+h AS (SELECT doc_id, lang, sha256(ID || head || N0 || tail) AS leaf, CASE WHEN CRC32 % 7 = 0 THEN sha256(ID || head || N1 || tail) END AS given FROM d),
+trees AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) AS n FROM h GROUP BY lang),
+leaves AS (SELECT doc_id, leaf, coalesce(given, leaf) AS given, tree, n,
+                  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+           FROM h JOIN trees ON h.lang IS NOT DISTINCT FROM trees.lang),
+nodes AS (SELECT tree, 0 AS level, pos, leaf AS node, n FROM leaves
+          UNION ALL SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+          FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+tops AS (SELECT 0 AS level, tree AS pos, node, (SELECT count(*) FROM trees) AS n FROM nodes WHERE n = 1
+         UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+         FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+way AS (SELECT tree, pos AS rank, 0 AS level, given AS node, n, '' AS path FROM leaves
+        UNION ALL SELECT w.tree, w.rank, w.level + 1,
+                  sha256(CASE WHEN (w.rank >> w.level) % 2 = 1 THEN s.node || w.node ELSE w.node || coalesce(s.node, '') END),
+                  (w.n + 1) // 2, w.path || coalesce(s.node, '')
+        FROM way w LEFT JOIN nodes s ON s.tree = w.tree AND s.level = w.level AND s.pos = xor(w.rank >> w.level, 1) WHERE w.n > 1),
+up AS (SELECT tree, rank, 0 AS level, node, (SELECT count(*) FROM trees) AS n, path FROM way WHERE n = 1
+       UNION ALL SELECT w.tree, w.rank, w.level + 1,
+                 sha256(CASE WHEN (w.tree >> w.level) % 2 = 1 THEN s.node || w.node ELSE w.node || coalesce(s.node, '') END),
+                 (w.n + 1) // 2, w.path || coalesce(s.node, '')
+       FROM up w LEFT JOIN tops s ON s.level = w.level AND s.pos = xor(w.tree >> w.level, 1) WHERE w.n > 1)
+SELECT doc_id, leaf, t.node AS subroot, r.node AS root, sha256(up.path) AS proof_sha256, up.node AS folded_root, up.node = r.node AS verified
+FROM leaves l JOIN up ON up.tree = l.tree AND up.rank = l.pos AND up.n = 1
+JOIN tops t ON t.level = 0 AND t.pos = l.tree JOIN tops r ON r.n = 1
+""".replace("ID", "coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')").replace(
+    "N0", "coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')").replace(
+    "N1", "coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-')").replace(
+    "CRC32", _CRC32_SQL.replace("SUBJECT", "(doc_id::VARCHAR)"))
+
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (op1_secret_scan, op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules,
@@ -217,5 +303,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracles() -> dict[str, str]:
     known = {"op4_chat_format": OP4_SQL, "op6_host_rules": OP6_SQL, "op9_source_mixing": OP9_SQL, "op10_block_naming": OP10_SQL,
+             "op11_audit_repair": OP11_SQL, "op12_merkle_manifest": OP12_SQL,
              "pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: sql for name, sql in known.items() if sql}
