@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hazardlens.llm import (
-    blocknames, chat, hostrules, jaccard, langid, manifest, mixing, packing, repair, secretscan, shards, toxicity,
+    blocknames, chat, hostrules, jaccard, langid, manifest, mixing, packing, repair, secretscan, shards, toxicity, vptree,
 )
-from hazardlens.llm.common import table
+from hazardlens.llm.common import checkpointed, table
 from hazardlens.session import scratch_path
 
 
@@ -108,6 +108,11 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    index = checkpointed(vptree.build_index(table(spark, folder, "embeddings")))
+    return vptree.search(index, index.where(F.col("vec_id") % 50 == 0)).select("query_id", "rank", "vec_id", "score")
+
+
 OP4_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
@@ -297,7 +302,7 @@ JOIN tops t ON t.level = 0 AND t.pos = l.tree JOIN tops r ON r.n = 1
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (op1_secret_scan, op2_language_filters, op3_jaccard_join, op4_chat_format, op5_best_fit_packing, op6_host_rules,
              op7_training_shards, op8_toxicity, op9_source_mixing, op10_block_naming, op11_audit_repair,
-             op12_merkle_manifest)
+             op12_merkle_manifest, op13_vantage_trees)
     return {f.__name__: f for f in known} | {"pipeline": corpus_pipeline.run}
 
 
