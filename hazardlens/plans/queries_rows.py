@@ -115,10 +115,11 @@ def _(i: Inputs) -> DataFrame:
        "ELSE 'official' END AS side FROM enriched WHERE event_type IS NOT NULL AND country IS NOT NULL "
        "AND event_type <> 'other'")
 def _(i: Inputs) -> DataFrame:
-    off = LT.official_side(i.enriched).select(
+    off, soc = LT.official_and_social(i.enriched)
+    off = off.select(
         F.col("off_id").alias("event_id"), F.col("off_source").alias("source"), "event_type", "country",
         F.col("off_ts").alias("ts"), F.lit("official").alias("side"))
-    soc = LT.social_side(i.enriched).select(
+    soc = soc.select(
         F.col("soc_id").alias("event_id"), F.col("soc_source").alias("source"), "event_type", "country",
         F.col("soc_ts").alias("ts"), F.lit("social").alias("side"))
     return off.unionByName(soc)
