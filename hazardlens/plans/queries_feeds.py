@@ -12,6 +12,7 @@ from hazardlens.plans.registry import query
 from hazardlens.schema import OFFICIAL_SOURCES, POSTS_RAW
 from hazardlens.session import scratch_path
 from hazardlens.sinks import tables as K
+from hazardlens.sinks.snapshots import SnapshotTable
 from hazardlens.sources import feeds as S
 from hazardlens.sources import tables as ST
 
@@ -246,6 +247,18 @@ def _(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(path)
 
 
+@query("k03_versions", "SELECT v.version, event_id, source FROM enriched, (VALUES (1), (2)) v(version) WHERE v.version = 2 OR "
+                       "source = 'usgs'")
+def _(i: Inputs) -> DataFrame:
+    # An overwrite is a new version; the one before it can still be read.
+    table = SnapshotTable(i.spark, scratch_path(i.spark, "versions"), ("source",))
+    rows = i.enriched.select("event_id", "source")
+    table.overwrite(rows.where("source = 'usgs'"))
+    table.overwrite(rows)
+    old, new = (table.read(v).withColumn("version", F.lit(v)) for v in (1, 2))
+    return old.unionByName(new)
+
+
 @query("k04_partitioned_parquet", "SELECT event_id, event_type, source, severity FROM enriched")
 def _(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "partitioned")
@@ -290,6 +303,21 @@ def _(i: Inputs) -> DataFrame:
     return K.read_region_date(i.spark, path)
 
 
+@query("k08_two_writers", "SELECT coalesce(country, 'UNK') AS country, strftime(ts, '%Y-%m') AS date_bucket, ts AS event_time, "
+                          "event_id, CASE event_id::BIGINT % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'early' ELSE 'late' END AS source "
+                          "FROM clustered WHERE ts IS NOT NULL")
+def _(i: Inputs) -> DataFrame:
+    # Two writers merge into the same folders from one version; the later one finds that and merges again.
+    number, named = F.col("event_id").cast("long") % 3, lambda rows, name: K.region_date_rows(rows.withColumn("source", F.lit(name)))
+    table = K.region_date_table(i.spark, scratch_path(i.spark, "region-date"))
+    key = ["country", "date_bucket", "event_time", "event_id"]
+    table.upsert(named(i.clustered.where(number != 2), "base"), key)
+    late = table.upserting(named(i.clustered.where(number == 2), "late"), key)
+    table.upsert(named(i.clustered.where(number == 1), "early"), key)
+    late.commit()
+    return table.read().select(*key, "source")
+
+
 @query("k09_lead_time_matches", "SELECT event_type, country, off_id, soc_id, off_source, soc_source, off_ts, soc_ts, "
                                 "delta_seconds, severity FROM pairs")
 def _(i: Inputs) -> DataFrame:
@@ -314,7 +342,22 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "store")
     rows = i.canonical.select("event_id", "ts", "source")
-    K.write_parquet(rows.where(F.col("source").isin(OFFICIAL_SOURCES)).withColumn("origin", F.lit("stored")), path)
+    store = K.event_store(i.spark, path)
+    store.append(rows.where(F.col("source").isin(OFFICIAL_SOURCES)).withColumn("origin", F.lit("stored")))
     incoming = rows.withColumn("origin", F.lit("new"))
     K.insert_only(i.spark, incoming.unionByName(incoming), path)
-    return i.spark.read.parquet(path).select("event_id", "origin")
+    return store.read().select("event_id", "origin")
+
+
+@query("k12_two_writers", "SELECT event_id, CASE WHEN source IN ('usgs', 'eonet', 'gdacs', 'reliefweb') THEN 'stored' WHEN "
+                          "source = 'gdelt' THEN 'second' ELSE 'first' END AS origin FROM typed")
+def _(i: Inputs) -> DataFrame:
+    # Both inserts begin on one version; the one that commits later looks again and finds half of its rows stored.
+    rows = i.canonical.select("event_id", "ts", "source")
+    store = K.event_store(i.spark, scratch_path(i.spark, "store"))
+    store.append(rows.where(F.col("source").isin(OFFICIAL_SOURCES)).withColumn("origin", F.lit("stored")))
+    later = store.inserting(rows.where("source <> 'gdelt'").withColumn("origin", F.lit("first")).unionByName(
+        rows.where("source = 'gdelt'").withColumn("origin", F.lit("late"))))
+    store.inserting(rows.where("source = 'gdelt'").withColumn("origin", F.lit("second"))).commit()
+    later.commit()
+    return store.read().select("event_id", "origin")

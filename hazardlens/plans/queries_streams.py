@@ -10,8 +10,11 @@ from hazardlens.plans.inputs import Inputs
 from hazardlens.plans.registry import query
 from hazardlens.schema import OFFICIAL_SOURCES, POSTS_RAW, STREAM
 from hazardlens.session import scratch_path
+from hazardlens.sinks.snapshots import SnapshotTable
+from hazardlens.sinks.tables import event_store
 from hazardlens.sources.feeds import normalise_posts
 from hazardlens.streaming import live as L
+from hazardlens.streaming import windows as W
 
 _BATCH = ("SELECT event_id, source, title, text, lat, lon, ts, country, 'streaming' AS event_type, CAST(0.0 AS FLOAT) AS "
           "classify_conf, severity, CAST(NULL AS INTEGER) AS cluster_id FROM scored")
@@ -103,6 +106,17 @@ def _(i: Inputs) -> DataFrame:
     return _read(i, out).select("event_id", "severity")
 
 
+@query("k10_compacted_stream", "SELECT event_id, severity FROM scored")
+def _(i: Inputs) -> DataFrame:
+    # One small file in a micro-batch, merged by size as they come; the second run finds nothing new.
+    session, out, check = _stream_session(i), scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
+    landed = _out_of_order(i, i.canonical.select("event_id", *[c for c in STREAM.names if c != "event_id"]))
+    for _run in range(2):
+        stream = L.enrich_stream(L.read_events(session, landed, STREAM, "parquet", files_per_trigger=1))
+        L.run_to_end(L.to_batches(stream, L.append_once(out, "events"), check, once=True))
+    return SnapshotTable(i.spark, out).read().select("event_id", "severity")
+
+
 @query("r02_two_sinks", "SELECT s.sink, t.event_id, t.severity FROM scored t, (VALUES ('files'), ('batches')) s(sink)")
 def _(i: Inputs) -> DataFrame:
     session = _stream_session(i)
@@ -130,13 +144,13 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     session, store, check = _stream_session(i), scratch_path(i.spark, "store"), scratch_path(i.spark, "check")
     known = i.canonical.where(F.col("source").isin(OFFICIAL_SOURCES))
-    known.select("event_id", "ts", F.lit("stored").alias("origin")).write.parquet(store)
+    event_store(i.spark, store).append(known.select("event_id", "ts", F.lit("stored").alias("origin")))
     # Every event twice, in different files and micro-batches.
     new = i.canonical.select("event_id", "ts", F.lit("new").alias("origin"))
     landed = _out_of_order(i, new.unionByName(new).select("ts", "event_id", "origin"))
     stream = L.read_events(session, landed, i.spark.read.parquet(landed).schema, "parquet", files_per_trigger=3)
     L.run_to_end(L.to_batches(stream, L.insert_once(store), check, once=True))
-    return _read(i, store).select("event_id", "origin")
+    return event_store(i.spark, store).read().select("event_id", "origin")
 
 
 @query("r04_live_posts_once", "SELECT 'bsky_' || split_part(uri, '/', -1) AS event_id, handle AS author FROM posts")
@@ -145,9 +159,8 @@ def _(i: Inputs) -> DataFrame:
     out, check = scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
     i.posts.unionByName(i.posts).write.json(landed)
     posts = normalise_posts(L.read_events(session, landed, POSTS_RAW, multi_line=False, files_per_trigger=1))
-    i.spark.createDataFrame([], posts.schema).write.parquet(out)
     L.run_to_end(L.to_batches(posts, L.insert_once(out), check, once=True))
-    return _read(i, out).select("event_id", "author")
+    return event_store(i.spark, out).read().select("event_id", "author")
 
 
 @query("r05_windowed_counts", """SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
@@ -159,3 +172,17 @@ def _(i: Inputs) -> DataFrame:
     stream = L.read_events(session, landed, i.spark.read.parquet(landed).schema, "parquet", files_per_trigger=3)
     L.run_to_end(L.to_batches(stream, L.partial_window_counts(out), check, once=True))
     return L.window_totals(i.spark, out)
+
+
+@query("r05_corrected_counts", """SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+    time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end, event_type, count(*) AS n FROM typed
+    WHERE ts IS NOT NULL GROUP BY ALL""")
+def _(i: Inputs) -> DataFrame:
+    # Late rows in every micro-batch, and a stop in between: the second half lands while the stream is down.
+    session, out, check = _stream_session(i), scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
+    rows, landed = i.typed.select("event_id", "ts", "event_type"), scratch_path(i.spark, "landed")
+    for half in range(2):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).repartition(3, "event_id").write.mode("append").parquet(landed)
+        stream = L.read_events(session, landed, rows.schema, "parquet", files_per_trigger=3)
+        L.run_to_end(L.to_batches(W.corrected_window_counts(stream), L.batch_store(out), check, once=True, mode="update"))
+    return W.newest_counts(_read(i, out))

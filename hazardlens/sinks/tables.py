@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators.normalize import first_per_key
 from hazardlens.schema import DOCUMENT_COLUMNS, LEAD_MATCHES, LEAD_SUMMARY, REGION_DATE
-from hazardlens.session import checkpointed
+from hazardlens.sinks.snapshots import SnapshotTable
 
 MAX_ROWS_PER_FILE = 5_000_000
 
@@ -119,36 +119,27 @@ def region_date_rows(df: DataFrame) -> DataFrame:
     return first_per_key(rows, key, order)
 
 
+def region_date_table(spark: SparkSession, path: str) -> SnapshotTable:
+    """Folders by (country, date_bucket); inside a file rows are newest first."""
+    return SnapshotTable(spark, path, ("country", "date_bucket"), (F.col("event_time").desc(), "event_id"))
+
+
 def write_region_date(df: DataFrame, path: str) -> None:
-    """Hive layout on (country, date_bucket); inside a file rows are newest first."""
-    rows = region_date_rows(df).hint("rebalance", "country", "date_bucket")
-    ordered = rows.sortWithinPartitions("country", "date_bucket", F.col("event_time").desc(), "event_id")
-    with replacing(df.sparkSession, path) as staged:
-        ordered.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy("country", "date_bucket").parquet(staged)
+    """The serving table anew. Readers see the old version until the new one is complete."""
+    region_date_table(df.sparkSession, path).overwrite(region_date_rows(df).select(*REGION_DATE.names))
 
 
 def upsert_region_date(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Merge rows into the serving table: equal keys are replaced, all other stored rows stay.
 
-    Only the (country, month) folders that the new rows touch are read, merged into a staged copy and overwritten. A
-    repeated load changes nothing."""
-    fresh = checkpointed(region_date_rows(df))
-    folders, key = ["country", "date_bucket"], ["country", "date_bucket", "event_time", "event_id"]
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-        return write_region_date(df, path)
-    touched = fresh.select(*folders).distinct()
-    stored = read_region_date(spark, path).join(touched, folders, "left_semi")
-    others = stored.join(fresh.select(*key), key, "left_anti").select(*fresh.columns)
-    merged = checkpointed(fresh.unionByName(others).hint("rebalance", *folders).sortWithinPartitions(
-        *folders, F.col("event_time").desc(), "event_id"))
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy(*folders).parquet(path)
+    Only the (country, month) folders that the new rows touch are read and written, and all of them change at once. A repeated
+    load changes nothing; a writer that finds its folders changed by another one merges again."""
+    rows = region_date_rows(df).select(*REGION_DATE.names)
+    region_date_table(spark, path).upsert(rows, ["country", "date_bucket", "event_time", "event_id"])
 
 
-def read_region_date(spark: SparkSession, path: str) -> DataFrame:
-    # Partition values keep their text type: a country called "1" or a month must not turn into a number.
-    return spark.read.schema(REGION_DATE).parquet(path)
+def read_region_date(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return region_date_table(spark, path).read(version)
 
 
 def write_lead_time(matches: DataFrame, summary: DataFrame, matches_path: str, summary_path: str) -> None:
@@ -187,17 +178,18 @@ def poll_statistics(incoming: DataFrame, store: DataFrame, key: str = "event_id"
         F.count(F.when(~F.col("__usable"), 1)).alias("errors"))
 
 
-def insert_only(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "event_id") -> dict[str, int]:
-    """Append rows with new keys and leave stored rows untouched. Returns fetched and inserted counts.
+def event_store(spark: SparkSession, path: str, key: str = "event_id") -> SnapshotTable:
+    """A store that grows by inserts and knows which of its files can hold a key."""
+    return SnapshotTable(spark, path, index_key=key)
 
-    Both counts are observed on the write itself.
-    """
-    fetched, inserted = Observation("fetched"), Observation("inserted")
-    known = known_keys(incoming, spark.read.parquet(store_path), key)
-    seen = incoming.observe(fetched, F.count(F.lit(1)).alias("n"))
-    order = [F.col(c) for c in sorted(incoming.columns, key=lambda c: (c != "ts", c)) if c != key]
-    first = first_per_key(seen, [key], order)
-    fresh = first.join(known, key, "left_anti").select(*incoming.columns).observe(
-        inserted, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").parquet(store_path)
-    return {"fetched": fetched.get["n"], "inserted": inserted.get["n"]}
+
+def insert_only(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "event_id",
+                batch: tuple[str, int] | None = None) -> dict[str, int]:
+    """Insert rows with new keys into an :func:`event_store` and leave stored rows untouched; rows without a key are not
+    stored. Returns fetched and inserted counts. Safe with several writers; a ``batch`` (stream, number) counts once."""
+    store, fetched = event_store(spark, store_path, key), Observation()
+    if batch and store.snapshot().batches.get(batch[0], -1) >= batch[1]:
+        return {"fetched": incoming.count(), "inserted": 0}
+    insert = store.inserting(incoming.observe(fetched, F.count(F.lit(1)).alias("n")), batch=batch)
+    insert.commit()
+    return {"fetched": fetched.get["n"], "inserted": insert.change.rows}

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hazardlens.functions.severity import with_severity
 from hazardlens.schema import STREAM
-from hazardlens.sinks.tables import insert_only
+from hazardlens.sinks.snapshots import TARGET_BYTES, SnapshotTable
+from hazardlens.sinks.tables import event_store, insert_only
 
 FILES_PER_TRIGGER = 5
 TRIGGER = "15 seconds"
@@ -43,14 +44,14 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str, once: bool = False
 
 
 def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-               once: bool = False) -> StreamingQuery:
+               once: bool = False, mode: str = "append") -> StreamingQuery:
     """Hand each non-empty micro-batch to ``write``. A batch may be delivered again after a failure, so
     ``write`` must be idempotent (see :func:`batch_store` and :func:`insert_once`)."""
     def non_empty(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             write(batch, batch_id)
 
-    writer = stream.writeStream.foreachBatch(non_empty).outputMode("append").option(
+    writer = stream.writeStream.foreachBatch(non_empty).outputMode(mode).option(
         "checkpointLocation", checkpoint)
     return _trigger(writer, once).start()
 
@@ -63,10 +64,27 @@ def batch_store(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def insert_once(store_path: str, key: str = "event_id") -> Callable[[DataFrame, int], None]:
-    """Insert-only merge into a stored table: a replayed batch finds its rows already there."""
+def append_once(path: str, stream: str, partition_by: tuple[str, ...] = (), target_bytes: int = TARGET_BYTES,
+                ) -> Callable[[DataFrame, int], None]:
+    """Append to a snapshot table that remembers the stream's last batch and merges small files as they come.
+
+    A replayed batch adds nothing, also after its files were merged into others. ``stream`` names the checkpoint: a stream that
+    begins anew with a fresh checkpoint needs a new name."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = SnapshotTable(batch.sparkSession, path, partition_by)
+        table.append(batch, (stream, batch_id))
+        table.compact(target_bytes)
+
+    return write
+
+
+def insert_once(store_path: str, key: str = "event_id", compact: bool = True) -> Callable[[DataFrame, int], None]:
+    """Insert-only merge into an event store: a replayed batch finds its rows already there. Only files that may hold a key of
+    the batch are opened."""
     def write(batch: DataFrame, batch_id: int) -> None:
         insert_only(batch.sparkSession, batch, store_path, key)
+        if compact:
+            event_store(batch.sparkSession, store_path, key).compact()
 
     return write
 

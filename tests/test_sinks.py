@@ -71,14 +71,15 @@ def test_region_date_table_upserts_and_prunes(spark, events, folder):
 
 def test_insert_only_is_repeatable(spark, events, folder):
     rows = events.select("event_id", "ts", F.lit("old").alias("origin"))
-    K.write_parquet(rows.where("event_id < '2'"), folder + "/s")
-    stored = spark.read.parquet(folder + "/s").count()
+    store = K.event_store(spark, folder + "/s")
+    store.append(rows.where("event_id < '2'"))
+    stored = store.read().count()
     incoming = rows.withColumn("origin", F.lit("new"))
     later = incoming.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
     stats = K.insert_only(spark, later.unionByName(incoming), folder + "/s")
     assert stats == {"fetched": 800, "inserted": 400 - stored}
     assert K.insert_only(spark, incoming, folder + "/s") == {"fetched": 400, "inserted": 0}
-    back = spark.read.parquet(folder + "/s")
+    back = store.read()
     assert back.count() == 400 and back.where("origin = 'old'").count() == stored
     assert back.where("origin = 'new'").join(incoming, ["event_id", "ts"], "left_anti").count() == 0  # earliest kept
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from hazardlens.schema import STREAM
+from hazardlens.sinks.snapshots import SnapshotTable
+from hazardlens.sinks.tables import event_store
 from hazardlens.streaming import live as L
+from hazardlens.streaming import windows as W
 
 
 def _drop(folder, name, events, indent=2):
@@ -49,11 +52,48 @@ def test_replayed_batches_change_nothing(spark, folder):
     store(rows, 4)
     store(rows, 4)
     assert spark.read.parquet(folder + "/b").count() == 2
-    rows.where("event_id = '1'").write.parquet(folder + "/s")
+    event_store(spark, folder + "/s").append(rows.where("event_id = '1'"))
     once = L.insert_once(folder + "/s")
     once(rows, 0)
     once(rows, 0)
-    assert spark.read.parquet(folder + "/s").count() == 2
+    assert event_store(spark, folder + "/s").read().count() == 2
+
+
+def test_small_files_are_merged_and_replays_of_merged_batches_add_nothing(spark, folder):
+    write, table = L.append_once(folder + "/t", "s"), SnapshotTable(spark, folder + "/t")
+    for k in range(20):
+        write(spark.range(k * 10, k * 10 + 10).select(F.col("id").cast("string").alias("event_id")).coalesce(1), k)
+        assert len(table.snapshot().files) <= 2 * 3
+    before = sorted(r.event_id for r in table.read().collect())
+    assert before == sorted(map(str, range(200))) and any(table.snapshot(v).operation == "compact" for v in table.versions())
+    for k in (0, 7, 19):
+        write(spark.range(k * 10, k * 10 + 10).select(F.col("id").cast("string").alias("event_id")), k)
+    assert sorted(r.event_id for r in table.read().collect()) == before
+
+
+def _counts(df):
+    return sorted((r.window_start, r.event_type, r.n) for r in df.collect())
+
+
+def test_corrected_counts_after_a_stop(spark, folder):
+    rows = [("a", 3600 * 10), ("b", 3600 * 200), ("c", 3600 * 200 + 5), ("d", 60), ("e", 3600 * 400), ("f", 3600 * 10 + 1), ("g", 70)]
+    schema = "event_id string, ts timestamp, event_type string"
+    for part, names in enumerate(("abcd", "efg")):
+        for event_id, at in rows:
+            if event_id in names:
+                spark.createDataFrame([(event_id, datetime.fromtimestamp(at, timezone.utc), "x")], schema).coalesce(1).write.mode(
+                    "append").parquet(folder + "/in")
+        stream = L.read_events(spark, folder + "/in", spark.read.parquet(folder + "/in").schema, "parquet", files_per_trigger=1)
+        query = L.to_batches(W.corrected_window_counts(stream, keep_minutes=60), L.batch_store(folder + "/out"), folder + "/c",
+                             once=True, mode="update")
+        L.run_to_end(query)
+    changes = spark.read.parquet(folder + "/out")
+    want = spark.read.parquet(folder + "/in").groupBy(F.window("ts", "15 minutes").start.alias("window_start"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"))
+    assert _counts(W.newest_counts(changes)) == _counts(want)
+    assert changes.where("revision > 1").count() >= 1 and changes.where("part > 0").count() >= 1
+    # All but the newest windows have given their counters back.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
 
 
 def test_empty_batches_are_skipped(spark, folder):
