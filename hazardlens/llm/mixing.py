@@ -103,7 +103,7 @@ def quotas(sources: DataFrame, blocks: int, block_words: int, shards: int = SHAR
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
              weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, shards: int = SHARDS,
-             seed: int = 0, blocks_per_doc: int | None = None) -> Mix:
+             seed: int = 0) -> Mix:
     """The mix of ``docs`` (a stored table), one plan row per document.
 
     ``taken`` counts the words that the mix takes, repeats included; ``first`` is the document's first word on
@@ -112,9 +112,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     repeated rows count each; rows without words take nothing; an empty table gives an empty plan. Documents with
     equal ids lie in order of size. Other columns are not read.
 
-    Blocks follow the smallest target, down to one word, so that no source is lost. ``blocks_per_doc`` makes them
-    larger, so that there are no more than that many per document on average; a source whose target is under about
-    half such a block is then not taken at all."""
+    Blocks follow the smallest target, down to one word, so that no source is lost."""
     rows, row_id = with_row_id(docs)
     key = F.array(F.col(source_col).cast("string"))     # an array, so that null joins null
     sized = checkpointed(rows.select(
@@ -127,8 +125,6 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     aimed = checkpointed(targets(sources, total, weights, max_repeats))
     least = aimed.where("target > 0").agg(F.min("target")).first()[0] or 1.0
     block = max(1, min(BLOCK_WORDS, int(least) // BLOCKS_EACH))
-    if blocks_per_doc:
-        block = max(block, -(-total // max(1, blocks_per_doc * n)))
     blocks = int(total / block + 0.5)
     shares = quotas(aimed, blocks, block, shards, max_repeats)
     size = F.col("source_size")

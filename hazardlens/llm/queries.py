@@ -81,7 +81,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mix = mixing.plan_mix(table(spark, folder, "documents"), blocks_per_doc=8)      # as in MIX_CTES
+    mix = mixing.plan_mix(table(spark, folder, "documents"))
     return mix.plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -159,8 +159,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
-#: The mix of a table ``docs`` (doc_id, source, text) as in :mod:`hazardlens.llm.mixing` with eight blocks per document; gives
-#: ``mix`` (doc_id, size, source_size, target, taken).
+#: The mix of a table ``docs`` (doc_id, source, text) as in :mod:`hazardlens.llm.mixing`; gives ``mix`` (doc_id,
+#: size, source_size, target, taken). Of the awards only those around a source's fair share are listed: a divisor rule
+#: leaves it by less than the number of sources.
 MIX_CTES = r"""
 sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                  md5('mix:0:' || coalesce(doc_id::VARCHAR, 'null')) AS mixed FROM docs),
@@ -179,14 +180,18 @@ shares AS (SELECT 0 AS j, total::BIGINT / sum(w)::DOUBLE AS share, min(3 * s / w
            FROM filling WHERE rest > 0),
 share AS (SELECT arg_min(share, j) AS share FROM shares WHERE fits),
 aimed AS (SELECT *, least((3 * s)::DOUBLE, share * w) AS target FROM weighed, share),
-size_of AS (SELECT greatest(1, least(4096, (SELECT floor(min(target))::BIGINT // 256 FROM aimed WHERE target > 0)),
-                            ceil(max(total) / (8.0 * max(docs)))::BIGINT)::BIGINT AS block, max(total) AS total FROM aimed),
+size_of AS (SELECT greatest(1, least(4096, (SELECT floor(min(target))::BIGINT // 256 FROM aimed WHERE target > 0)))::BIGINT
+            AS block, max(total) AS total, count(*) AS margin, sum(target) AS aim FROM aimed),
+seats AS (SELECT *, floor(total / block + 0.5)::BIGINT AS seats FROM size_of),
+edges AS (SELECT source_no, target, ceil(3 * s / block)::BIGINT AS most,
+                 greatest(0, least(most, floor(target * seats / aim)::BIGINT) - margin) AS low,
+                 least(most, ceil(target * seats / aim)::BIGINT + margin) AS high FROM aimed, seats WHERE aim > 0),
 awards AS (SELECT source_no, k, target / (2 * k + 1) AS quotient
-           FROM (SELECT source_no, target, unnest(generate_series(0, ceil(3 * s / block)::BIGINT - 1)) AS k
-                 FROM aimed, size_of)),
-won AS (SELECT source_no, count(*) AS quota FROM
-        (SELECT source_no, row_number() OVER (ORDER BY quotient DESC, source_no, k) AS place FROM awards), size_of
-        WHERE place <= floor(total / block + 0.5) GROUP BY source_no),
+           FROM (SELECT source_no, target, unnest(generate_series(low, high - 1)) AS k FROM edges)),
+placed_awards AS (SELECT source_no, row_number() OVER (ORDER BY quotient DESC, source_no, k) AS place FROM awards),
+won AS (SELECT source_no, max(low) + count(place) AS quota FROM edges LEFT JOIN (
+            SELECT * FROM placed_awards WHERE place <= (SELECT max(seats) FROM seats) - (SELECT sum(low) FROM edges))
+        USING (source_no) GROUP BY source_no),
 rings AS (SELECT source, source_no, s, target, least(coalesce(quota, 0) * block, 3 * s) AS run,
                  ('0x' || substr(md5('mix:0:source:' || source_no::VARCHAR), 1, 15))::BIGINT
                  % greatest(1, s // block) * block AS start

@@ -8,6 +8,7 @@ from fractions import Fraction
 import pytest
 
 from hazardlens.llm import mixing
+from hazardlens.llm.queries import op9_source_mixing
 from tests.llm.conftest import ODD_ROWS, ODD_SCHEMA
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -43,7 +44,7 @@ def check(rows, mix):
         by[r.source_size, r.target].append(r)
         assert 0 <= r.taken <= 3 * r.size
     for (_, target), members in by.items():
-        assert abs(sum(m.taken for m in members) - target) <= mix.block_words + 1
+        assert abs(sum(m.taken for m in members) - target) <= mix.block_words
     assert sum(r.taken for m in by.values() for r in m) <= sum(len(WORD.findall(r[1] or "")) for r in rows) + mix.block_words
 
 
@@ -122,5 +123,14 @@ def test_tiny_sources_beside_very_long_documents(stored, long_docs):
     assert mixed == taken and set(mixed) == set(names)
 
 
+@pytest.mark.parametrize("words", range(1, 11))
+def test_query_keeps_tiny_sources(spark, folder, words):
+    rows = [(i, "word " * (20_000 + i), "long") for i in range(3)] + [(9, "word " * words, "tiny"), (10, "one", "xs")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in op9_source_mixing(spark, folder).collect()}
+    assert abs(got[9].taken - got[9].target) <= 1 and abs(got[10].taken - got[10].target) <= 1
+    assert abs(sum(got[i].taken for i in range(3)) - got[0].target) <= 1 and got[9].target > 0 < got[10].target
+
+
 def test_empty_table(documents):
     assert mixing.plan_mix(documents.where("doc_id < 0")).plan.count() == 0
