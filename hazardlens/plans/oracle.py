@@ -140,4 +140,6 @@ def with_views(sql: str) -> str:
     from hazardlens.schema import KEYWORD_LEXICON
 
     views = VIEWS.replace("LEXICON", ", ".join(f"'{t}'" for t in KEYWORD_LEXICON))
-    return f"WITH {views.strip()}{'' if sql.lstrip().startswith(',') else chr(10)}{sql.strip()}"
+    recursive = "RECURSIVE " if sql.lstrip().startswith("RECURSIVE") else ""
+    sql = sql.strip().removeprefix("RECURSIVE")
+    return f"WITH {recursive}{views.strip()}{'' if sql.lstrip().startswith(',') else chr(10)}{sql.strip()}"

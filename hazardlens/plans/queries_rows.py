@@ -12,6 +12,7 @@ from hazardlens.functions.typing import rule_event_type
 from hazardlens.operators import enrich as E
 from hazardlens.operators import keywords as KW
 from hazardlens.operators import leadtime as LT
+from hazardlens.operators import names as NM
 from hazardlens.operators import normalize as N
 from hazardlens.operators import places as PL
 from hazardlens.plans import hub as H
@@ -304,6 +305,62 @@ def _(i: Inputs) -> DataFrame:
     return placed.select("event_id", "geo_lat", "geo_lon", "geo_country")
 
 
+_WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}_][\p{L}\p{N}_''\-]*')"
+#: A gazetteer of names of one to four words, the way every fifth document begins, looked for in all documents.
+_LONG_NAMES = rf"""
+RECURSIVE, said AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    names AS (SELECT lower(array_to_string(w[:doc_id // 5 % 4 + 1], ' ')) AS name, min(doc_id) AS place FROM said
+              WHERE doc_id % 5 = 0 AND len(w) > 0 GROUP BY 1),
+    sizes AS (SELECT name, place, len(string_split(name, ' ')) AS words FROM names),
+    starts AS (SELECT doc_id, pos, w FROM (SELECT doc_id, w, unnest(range(len(w))) AS pos FROM said)
+               WHERE w[pos + 1][1] <> lower(w[pos + 1][1])),
+    hits AS (SELECT doc_id, pos, max(n.words) AS words FROM (SELECT DISTINCT words FROM sizes) l, starts s JOIN sizes n
+             ON n.words = l.words AND n.name = lower(array_to_string(s.w[pos + 1:pos + l.words], ' ')) GROUP BY ALL),
+    chosen AS (SELECT doc_id, min(pos) AS pos, arg_min(words, pos) AS words FROM hits GROUP BY doc_id
+               UNION ALL
+               SELECT h.doc_id, min(h.pos), arg_min(h.words, h.pos) FROM chosen c JOIN hits h ON h.doc_id = c.doc_id
+                      AND h.pos >= c.pos + c.words GROUP BY h.doc_id),
+    found AS (SELECT c.doc_id, c.pos, c.words, name, place FROM chosen c JOIN said USING (doc_id) JOIN sizes n ON
+              n.name = lower(array_to_string(w[c.pos + 1:c.pos + c.words], ' ')))"""
+
+
+def _name_gazetteer(i: Inputs) -> DataFrame:
+    begun = NM.words_of(F.col("text"))
+    return i.table("documents").where(F.col("doc_id") % 5 == 0).select(
+        "doc_id", F.array_join(F.slice(begun, 1, (F.floor(F.col("doc_id") / 5) % 4 + 1).cast("int")), " ").alias("name"))
+
+
+def _long_names(i: Inputs, broadcast_names: int) -> DataFrame:
+    trie = NM.build_trie(_name_gazetteer(i), "name", F.struct(F.col("doc_id").alias("place")), [F.col("doc_id")], broadcast_names)
+    return NM.find_names(i.spread("documents"), trie, "doc_id").select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), F.col("words").cast("long").alias("words"), "name", "place.place")
+
+
+@query("j04_long_names", _LONG_NAMES + " SELECT doc_id, pos, words::BIGINT AS words, name, place FROM found")
+def _(i: Inputs) -> DataFrame:
+    return _long_names(i, NM.BROADCAST_NAMES)
+
+
+@query("j05_long_names_by_join", _LONG_NAMES + " SELECT doc_id, pos, words::BIGINT AS words, name, place FROM found")
+def _(i: Inputs) -> DataFrame:
+    # The form for gazetteers of any size: nothing is broadcast by hint.
+    return _long_names(i, 0)
+
+
+@query("x02_long_place_names", """, gazetteer AS (SELECT lower(n_name || ' ' || r_name) AS name, substr(n_name, 8) AS code FROM nation JOIN
+    region ON n_regionkey = r_regionkey), said AS (SELECT typed.event_id, 'Near ' || n_name || '  ' || r_name || ', ' || n_name AS text FROM typed JOIN
+    events e ON e.event_id::VARCHAR = typed.event_id JOIN nation ON n_nationkey = user_id % 25 JOIN region ON r_regionkey = n_regionkey)
+    SELECT event_id, CAST(NULL AS DOUBLE) AS geo_lat, CAST(NULL AS DOUBLE) AS geo_lon, code AS geo_country FROM said, gazetteer
+    WHERE contains(lower(replace(text, '  ', ' ')), name || ',')""")
+def _(i: Inputs) -> DataFrame:
+    nations = i.table("nation").join(i.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    countries = nations.select(F.concat_ws(" ", "n_name", "r_name").alias("key"), F.substring("n_name", 8, 9).alias("code"))
+    towns = nations.select(F.col("n_name").alias("key"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit("T").alias("countrycode"))
+    said = i.table("events").join(F.broadcast(nations), F.col("user_id") % 25 == F.col("n_nationkey")).select(
+        F.col("event_id").cast("string").alias("event_id"), F.concat(F.lit("Near "), "n_name", F.lit("  "), "r_name", F.lit(", "), "n_name").alias("text"))
+    return NM.resolve_long_names(said, countries, towns, "event_id")
+
+
 @query("j05_city_gazetteer",
        "SELECT key, latitude, longitude, countrycode FROM (SELECT lower(n_name || ' ' || c_mktsegment) AS key, "
        "c_acctbal AS latitude, CAST(c_custkey AS DOUBLE) AS longitude, substr(n_name, 1, 2) AS countrycode, row_number() "
