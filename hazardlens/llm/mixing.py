@@ -27,7 +27,7 @@ SHARDS = 8
 #: A block has at most this many words, and at most 1/BLOCKS_EACH of the smallest target.
 BLOCK_WORDS, BLOCKS_EACH = 4096, 256
 #: Documents in one bucket of the prefix sums, on average.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 
 
 @dataclass
@@ -47,6 +47,11 @@ def seeded(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"mix:{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
 
 
+def _place(doc_id: Column, size: Column) -> Column:
+    """What orders documents: rows with one id (or none) are told apart by size, so that they do not lie in one bucket."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), size.cast("string"))
+
+
 def _number(digest: Column, digits: int) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
@@ -117,7 +122,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     key = F.array(F.col(source_col).cast("string"))     # an array, so that null joins null
     sized = checkpointed(rows.select(
         F.col(row_id).alias("row_id"), F.col(id_col).alias("doc_id"), key.alias("source"),
-        word_count(F.col(text_col)).alias("size"), seeded(seed, F.col(id_col)).alias("mixed")))
+        word_count(F.col(text_col)).alias("size")).withColumn("mixed", seeded(seed, _place(F.col("doc_id"), F.col("size")))))
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = checkpointed(ordered_index(
         per_source, F.col("source")[0].isNull(), F.col("source")[0], name="source_no"))

@@ -164,7 +164,7 @@ FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 #: leaves it by less than the number of sources.
 MIX_CTES = r"""
 sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                 md5('mix:0:' || coalesce(doc_id::VARCHAR, 'null')) AS mixed FROM docs),
+                 md5('mix:0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size) AS mixed FROM docs),
 per_source AS (SELECT source, sum(size)::BIGINT AS s, count(*) AS n,
                       row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no FROM sized GROUP BY source),
 weighed AS (SELECT *, source_no % 3 + 1 AS w, sum(s) OVER ()::BIGINT AS total, sum(n) OVER ()::BIGINT AS docs
