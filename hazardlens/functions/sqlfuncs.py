@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.severity import severity_sql
 from hazardlens.functions.text import CAPITALISED
-from hazardlens.operators.places import INLINE_NAMES, build_cities, build_countries
+from hazardlens.operators.places import INLINE_NAMES, build_cities, build_countries, fetch_small
 
+#: A gazetteer that a SQL function may hold: so many countries and so many towns, and their bytes.
+LOOKUP_NAMES, LOOKUP_BYTES = 200_000, 32 << 20
 PLACE = "geo_lat double, geo_lon double, geo_country string"
 
 
@@ -63,15 +65,19 @@ def register_sql_functions(spark: SparkSession, countries: DataFrame | None = No
 
     ``countries`` and ``cities`` are raw name tables; they are built like those of ``operators.places``, so both forms
     know the same places (towns above the least population, the largest of a shared name). A gazetteer of up to
-    ``inline_names`` names becomes an expression that stays inside the JVM; a larger one (it has to fit the driver and
-    a Python worker) is looked up by a vectorised function with the same results.
+    ``inline_names`` names becomes an expression that stays inside the JVM; one of up to ``LOOKUP_NAMES`` is looked up by a
+    vectorised function with the same results. No more than that is ever fetched: a larger gazetteer is an error, as a
+    function cannot be spread; :func:`hazardlens.operators.places.resolve_places` joins it instead.
     """
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION score_severity(t STRING) RETURNS FLOAT "
               f"RETURN {severity_sql('t')}")
     if countries is None or cities is None:
         return
-    nations = {r.key: r.code for r in build_countries(countries).collect()}
-    towns = {r.key: (r.latitude, r.longitude, r.countrycode) for r in build_cities(cities).collect()}
+    small = fetch_small(build_countries(countries), build_cities(cities), max(inline_names, LOOKUP_NAMES))
+    if small is None or sum(table.nbytes for table in small) > LOOKUP_BYTES:
+        raise ValueError(f"more than {LOOKUP_NAMES} names or {LOOKUP_BYTES} bytes: join the gazetteer with resolve_places")
+    nations = {r["key"]: r["code"] for r in small[0].to_pylist()}
+    towns = {r["key"]: (r["latitude"], r["longitude"], r["countrycode"]) for r in small[1].to_pylist()}
     spark.sql("DROP TEMPORARY FUNCTION IF EXISTS geoparse_text")
     if max(len(nations), len(towns)) > inline_names:
         _register_lookup(spark, nations, towns)

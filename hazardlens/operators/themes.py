@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import clean_document, joined_text
@@ -65,6 +65,57 @@ def assign_themes(docs: DataFrame, model: PipelineModel, keep_tokens: bool = Fal
     return model.transform(docs).drop(*dropped)
 
 
+def _centres(model: PipelineModel) -> DataFrame:
+    """``cluster_id, place, value``: the coordinates of all centres that are not zero."""
+    spark = SparkSession.active()
+    rows = [(k, int(j), float(c[j])) for k, c in enumerate(model.stages[-1].clusterCenters()) for j in c.nonzero()[0]]
+    return spark.createDataFrame(rows, "cluster_id int, place int, value double")
+
+
+def _coordinates(scored: DataFrame, *keys: str) -> DataFrame:
+    """``keys, place, value`` of each row's features. Vectors open up in Python only; a row is a list of a text's words."""
+    @F.udf("array<struct<place:int,value:double>>", useArrow=False)
+    def opened(vector):
+        places = vector.indices if hasattr(vector, "indices") else range(len(vector))
+        return [(int(k), float(x)) for k, x in zip(places, vector.values if hasattr(vector, "indices") else vector) if x]
+
+    return scored.select(*keys, F.explode(opened("features")).alias("x")).select(*keys, "x.*")
+
+
+def centre_distances(docs: DataFrame, model: PipelineModel, key: str) -> DataFrame:
+    """``key, cluster_id, own, distances``: squared distances of each document to its own and to all centres.
+
+    Squares are added per shared coordinate: |x|^2 - 2 x.c + |c|^2, so the dense centres meet only the words that a document
+    has."""
+    scored = checkpointed(model.transform(docs).select(key, "cluster_id", "features"))
+    centres = _centres(model)
+    norms = {r.cluster_id: r.n for r in centres.groupBy("cluster_id").agg(F.sum(F.col("value") ** 2).alias("n")).collect()}
+    k = len(model.stages[-1].clusterCenters())
+    by_place = centres.groupBy("place").agg(F.map_from_entries(F.collect_list(F.struct("cluster_id", "value"))).alias("at"))
+    dots = _coordinates(scored, key).join(by_place, "place", "left").groupBy(key).agg(
+        F.sum(F.col("value") ** 2).alias("length"), *[F.coalesce(F.sum(F.col("value") * F.col("at")[c]), F.lit(0.0)).alias(f"d{c}") for c in range(k)])
+    distances = F.array(*[F.coalesce("length", F.lit(0.0)) - 2 * F.coalesce(f"d{c}", F.lit(0.0)) + norms.get(c, 0.0) for c in range(k)])
+    return scored.select(key, "cluster_id").join(dots, key, "left").select(
+        key, "cluster_id", F.element_at(distances, F.col("cluster_id") + 1).alias("own"), distances.alias("distances"))
+
+
+def centre_drift(docs: DataFrame, model: PipelineModel) -> DataFrame:
+    """``cluster_id, members, drift, spread``: how far each centre is from the mean of its members, beside their root mean
+    square distance from that mean. One row per centre, also without members."""
+    scored = checkpointed(model.transform(docs).select("cluster_id", "features"))
+    members = scored.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("members"))
+    sums = _coordinates(scored, "cluster_id").groupBy("cluster_id", "place").agg(F.sum("value").alias("s"), F.sum(F.col("value") ** 2).alias("q"))
+    both = sums.join(members, "cluster_id").join(_centres(model), ["cluster_id", "place"], "full")
+    mean = F.coalesce(F.col("s") / F.col("members"), F.lit(0.0))
+    found = both.groupBy("cluster_id").agg(
+        F.sqrt(F.sum((mean - F.coalesce("value", F.lit(0.0))) ** 2)).alias("drift"),
+        F.sqrt(F.greatest(F.lit(0.0), F.sum(F.coalesce(F.col("q") / F.col("members"), F.lit(0.0)) - mean ** 2))).alias("spread"))
+    every = SparkSession.active().range(len(model.stages[-1].clusterCenters())).select(F.col("id").cast("int").alias("cluster_id"))
+    return every.join(members, "cluster_id", "left").join(found, "cluster_id", "left").select(
+        "cluster_id", F.coalesce("members", F.lit(0)).alias("members"), F.coalesce("drift", F.lit(0.0)).alias("drift"),
+        F.coalesce("spread", F.lit(0.0)).alias("spread"))
+
+
 def theme_tokens(docs: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """``tokens`` as native expressions, equal to the Tokenizer and StopWordsRemover stages."""
     stop = stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english")

@@ -25,11 +25,18 @@ def _land(df: DataFrame, path: str, array: str, item: Column) -> str:
     return path
 
 
-def _publish(df: DataFrame, path: str, array: str, item: Column) -> str:
-    """As feeds publish them: one document a day with many items, over many lines, in a file of its own."""
-    days = df.groupBy(F.to_date("ts").alias("day")).agg(F.collect_list(item).alias(array))
-    days.select(F.to_json(F.struct(array), {"pretty": "true"}).alias("value")).write.option(
-        "maxRecordsPerFile", 1).text(path)
+#: Items of a published document, about.
+PUBLISHED_ITEMS = 500
+
+
+def _publish(df: DataFrame, path: str, array: str | None, item: Column) -> str:
+    """As feeds publish them: documents of a day with many items, over many lines, in files of their own. A day with many items
+    is published in parts, so no group grows with the day. Without ``array`` a document is a bare list."""
+    parts = df.groupBy(F.to_date("ts").alias("published")).agg(F.ceil(F.count(F.lit(1)) / PUBLISHED_ITEMS).alias("parts"))
+    dealt = df.withColumn("day", F.to_date("ts")).join(parts, F.col("day").eqNullSafe(F.col("published")))
+    documents = dealt.groupBy("day", F.pmod(F.xxhash64("event_id"), "parts").alias("part")).agg(F.collect_list(item).alias("items"))
+    body = F.col("items") if array is None else F.struct(F.col("items").alias(array))
+    documents.select(F.to_json(body, {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -152,6 +159,18 @@ def _(i: Inputs) -> DataFrame:
     return S.load_social(i.spark, path, as_of).select("event_id", "source", "title", "text", "ts")
 
 
+@query("s06_mixed_shapes", "SELECT event_id, 'social' AS source, CASE WHEN event_id::BIGINT % 3 = 2 THEN '' ELSE coalesce(title, '') END AS title, "
+                           "text, TIMESTAMP '2024-02-01 00:00:00' AS ts FROM typed")
+def _(i: Inputs) -> DataFrame:
+    # One folder, three kinds of file: tabs, commas with the columns in another order, commas with fewer columns.
+    path, number = scratch_path(i.spark, "social"), F.col("event_id").cast("long") % 3
+    key, event, text = F.col("event_id").alias("tweet_id"), F.col("title").alias("Event_Name"), F.col("text").alias("Tweet_Text")
+    for k, (sep, columns) in enumerate([("\t", [key, event, text]), (",", [text, F.lit("note").alias("class_label"), event, key]),
+                                        (",", [text.alias("TEXT"), key.alias("id")])]):
+        i.canonical.where(number == k).select(*columns).write.option("header", True).option("sep", sep).csv(f"{path}/{k}/deeper")
+    return S.load_social(i.spark, path, F.to_timestamp(F.lit("2024-02-01 00:00:00"))).select("event_id", "source", "title", "text", "ts")
+
+
 @query("s07_recursive_parquet", "SELECT event_id, source, title, text, lat, lon, ts, country FROM typed")
 def _(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "tree")
@@ -231,6 +250,15 @@ def _(i: Inputs) -> DataFrame:
     return ST.read_table(i.spark, path).groupBy("source", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("k01_files_per_source", "SELECT source, CASE source WHEN 'gdelt' THEN 4 WHEN 'usgs' THEN 2 ELSE 3 END::BIGINT AS files, count(*) AS n "
+                               "FROM enriched GROUP BY source")
+def _(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "by-source")
+    K.write_by_source(i.enriched, path, {"gdelt": 4, "usgs": 2}, default_files=3)
+    return ST.read_table(i.spark, path).withColumn("file", F.input_file_name()).groupBy("source").agg(
+        F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
+
+
 @query("k02_verified_write", _ENRICHED)
 def _(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "verified")

@@ -137,6 +137,23 @@ def _(i: Inputs) -> DataFrame:
         F.bool_and(F.col("cluster_id") == F.col("second")).alias("same_again"))
 
 
+@query("x06_nearest_centre_facts", "SELECT doc_id, true AS nearest FROM docs")
+def _(i: Inputs) -> DataFrame:
+    # For every document: no centre is nearer than the assigned one.
+    docs = i.documents.select("doc_id", "lang", "doc")
+    return T.centre_distances(docs, T.fit_themes(docs), "doc_id").select(
+        "doc_id", (F.col("own") <= F.array_min("distances") + 1e-6).alias("nearest"))
+
+
+@query("x05_centre_facts", f"SELECT range AS cluster_id, true AS has_members, true AS centre_is_mean FROM range({T.K})")
+def _(i: Inputs) -> DataFrame:
+    # For every cluster: it has members, and its centre is about their mean.
+    docs = i.documents.select("doc_id", "lang", "doc")
+    return T.centre_drift(docs, T.fit_themes(docs, max_iter=100)).select(
+        F.col("cluster_id").cast("long").alias("cluster_id"), (F.col("members") > 0).alias("has_members"),
+        (F.col("drift") <= 0.05 * F.col("spread") + 1e-6).alias("centre_is_mean"))
+
+
 @query("x03_trained_classifier_facts", "SELECT count(*) AS documents, true AS labels_ok, true AS confidence_ok, true AS "
                                        "learned FROM documents")
 def _(i: Inputs) -> DataFrame:

@@ -499,10 +499,11 @@ def _(i: Inputs) -> DataFrame:
     return new_rows(i.canonical, store).select("event_id", "source", "ts")
 
 
-@query("a36_poll_statistics", f"SELECT count(*) AS fetched, count(*) FILTER (NOT {OFFICIAL} AND text IS NOT NULL) AS inserted, "
-                              "count(*) FILTER (text IS NULL) AS errors FROM typed")
+@query("a36_poll_statistics", f"SELECT count(*) AS fetched, count(*) FILTER (NOT {OFFICIAL} AND text IS NOT NULL AND event_id::BIGINT % 13 <> 0) "
+                              "AS inserted, count(*) FILTER (text IS NULL OR event_id::BIGINT % 13 = 0) AS errors FROM typed")
 def _(i: Inputs) -> DataFrame:
+    # Every thirteenth row carries a time that cannot be read.
     store = i.canonical.where(F.col("source").isin("usgs", "eonet", "gdacs", "reliefweb"))
-    return poll_statistics(i.canonical, store, readable=F.col("text").isNotNull())
-
-
+    said = F.when(F.col("event_id").cast("long") % 13 == 0, "some time ago").otherwise(F.col("ts").cast("string"))
+    polled = i.canonical.withColumn("ts", F.try_to_timestamp(said))
+    return poll_statistics(polled, store, readable=F.col("text").isNotNull() & F.col("ts").isNotNull())

@@ -64,16 +64,19 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None, partition_
 
 def write_by_source(df: DataFrame, path: str, files_per_source: dict[str, int] | None = None,
                     default_files: int = 8) -> None:
-    """One folder per source. By default files are balanced by size, whatever a source holds;
-    ``files_per_source`` asks for a number of writers (others get up to ``default_files``), whose files are cut at
-    ``MAX_ROWS_PER_FILE``."""
+    """One folder per source. By default files are balanced by size, whatever a source holds; with ``files_per_source``
+    each source gets exactly its number of files (others ``default_files``), rows dealt by chance, as long as it has rows enough
+    and no file grows beyond ``MAX_ROWS_PER_FILE``. Sources are folders, so their names pass through the driver."""
     if not files_per_source:
         return write_parquet(df, path, partition_by=["source"])
-    fan = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in files_per_source.items()],
-                     F.lit(default_files))
-    spread = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), fan))
-    writers = sum(files_per_source.values()) + default_files
-    placed = spread.repartition(writers, "source", "__slice").drop("__slice")
+    first, writers = {}, 0
+    for source in sorted((r.source for r in df.select("source").distinct().collect()), key=lambda s: (s is not None, s)):
+        first[source] = writers, files_per_source.get(source, default_files)
+        writers += first[source][1]
+    plan = df.sparkSession.createDataFrame([(k, *v) for k, v in first.items()], "place string, first int, files int")
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("files"))
+    placed = df.join(F.broadcast(plan), df["source"].eqNullSafe(plan["place"])).withColumn(
+        "__file", (F.col("first") + turn).cast("int")).repartitionById(max(1, writers), "__file").select(*df.columns)
     with replacing(df.sparkSession, path) as staged:
         placed.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy("source").parquet(staged)
 

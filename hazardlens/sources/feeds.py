@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ from hazardlens import schema as S
 from hazardlens.functions.text import last_segment
 from hazardlens.operators.normalize import drop_duplicate_events, first_per_key, to_canonical, union_all, usable_rows
 
+#: Different headers in one folder.
+MAX_SHAPES = 1000
 GDELT_FIELDS = {"id": 0, "day": 1, "actors": (26, 5, 15), "country": 53, "lat": 56, "lon": 57, "url": 60}
 
 
@@ -94,18 +97,42 @@ def load_gdelt(spark: SparkSession, path: str) -> DataFrame:
         ts=_time(at("day"), "yyyyMMdd"), country=at("country"))
 
 
-def read_separated(spark: SparkSession, path: str) -> DataFrame:
-    """Tab- or comma-separated files with a header, searched recursively. The separator that splits the
-    header into more columns wins."""
-    def read(sep: str) -> DataFrame:
-        return spark.read.options(sep=sep, header=True, recursiveFileLookup=True).csv(path)
+@dataclass(frozen=True)
+class Shape:
+    separator: str
+    header: str
+    files: tuple[str, ...]
 
-    return max((read("\t"), read(",")), key=lambda df: len(df.columns))
+
+def file_shapes(spark: SparkSession, path: str) -> list[Shape]:
+    """The different headers of the text files below ``path``, each with its separator and its files.
+
+    One pass finds every file's first line; of a large file only its first split is looked at. Of tab and comma the one
+    that cuts the header into more columns is the separator. Files without a line have no shape."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    shapes = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).limit(MAX_SHAPES + 1).collect()
+    if len(shapes) > MAX_SHAPES:
+        raise ValueError(f"{path}: more than {MAX_SHAPES} different headers")
+    return [Shape(max("\t,", key=r.header.count), r.header, tuple(map(unquote, r.files))) for r in sorted(shapes, key=lambda r: r.header)]
+
+
+def read_shape(spark: SparkSession, shape: Shape) -> DataFrame:
+    return spark.read.options(sep=shape.separator, header=True).csv(list(shape.files))
 
 
 def load_social(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    """Labelled posts. They carry no time: ``as_of`` (default: now) is used for all of them."""
-    rows = read_separated(spark, path)
+    """Labelled posts in tab- or comma-separated files with a header, searched recursively. A folder may hold files of
+    different separators, columns and column orders: each is read in its own shape.
+
+    Posts carry no time: ``as_of`` (default: now) is used for all of them."""
+    shapes = [read_shape(spark, shape) for shape in file_shapes(spark, path)]
+    return union_all([_social_rows(rows, as_of) for rows in shapes or [spark.createDataFrame([], "text string")]])
+
+
+def _social_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
     by_name = {c.lower(): c for c in rows.columns}
 
     def pick(*names: str) -> str | None:

@@ -107,6 +107,20 @@ def test_social_either_separator_nested(spark, folder, sep):
     assert rows[0].ts == datetime(2024, 1, 1)
 
 
+def test_social_files_of_different_shapes(spark, folder):
+    _put(folder, "a/a.tsv", "tweet_id\tevent_name\ttweet_text\n1\te\thi, there\n")
+    _put(folder, "b/a.csv", "Tweet_Text,other,tweet_id\n\"a, b\",x,2\n")
+    _put(folder, "b/c d+e%20.csv", "Tweet_Text,other,tweet_id\nsecond,x,3\n")
+    _put(folder, "c.txt", "message\nplain\n")
+    _put(folder, "empty.csv", "")
+    shapes = S.file_shapes(spark, folder)
+    assert sorted((s.separator, len(s.files)) for s in shapes) == [("\t", 1), ("\t", 1), (",", 2)]
+    rows = {(r.event_id, r.title, r.text) for r in _rows(S.load_social(spark, folder))}
+    assert rows == {("1", "e", "hi, there"), ("2", "", "a, b"), ("3", "", "second"), ("plain", "", "plain")}
+    _put(folder + "/none", "a.csv", "")
+    assert S.load_social(spark, folder + "/none").count() == 0
+
+
 def test_social_column_fallbacks(spark, folder):
     _put(folder, "a.csv", "label,message\nx,hi\n")
     rows = _rows(S.load_social(spark, folder))
