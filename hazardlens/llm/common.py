@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardlens.session import checkpointed
 
-__all__ = ["WORD", "checkpointed", "fresh", "let", "ordered_index", "partitions_of", "slices", "table", "with_row_id"]
+__all__ = ["WORD", "checkpointed", "fresh", "let", "ordered_index", "partitions_of", "releasing", "slices", "table", "with_row_id"]
 
 #: Fixed value: a word is a run of anything but space and the ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,6 +59,18 @@ def slices(sizes, limit: int) -> Iterator[tuple[int, int]]:
         yield start, i + 1
 
 
+def releasing(work: Callable[..., Iterator[pa.RecordBatch]], **options) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for ``mapInArrow``. When a task ends its worker gives Arrow's unused memory back, as an executor keeps its
+    workers while it goes on with other work."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches, **options)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def ordered_index(df: DataFrame, *order: Column | str, name: str = "index") -> DataFrame:
     """``df`` (checkpointed) with the place of each row in the global order, from 0 without gaps.
 

@@ -18,7 +18,7 @@ buckets and groups are cut into blocks that go to different tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.llm.common import checkpointed, partitions_of, slices, with_row_id
+from hazardlens.llm.common import checkpointed, partitions_of, releasing, slices, with_row_id
 from hazardlens.llm.components import components
 from hazardlens.llm.wordhash import mixed, shingles, words
 
@@ -272,7 +272,7 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows, row_id = with_row_id(docs)
     source = rows.select(F.col(row_id).alias("row_id"), F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
-    profile = checkpointed(source.mapInArrow(partial(_profiles, size=shingle_words), _PROFILE))
+    profile = checkpointed(source.mapInArrow(releasing(_profiles, size=shingle_words), _PROFILE))
     filled = profile.where("n > 0")
     firsts = checkpointed(filled.groupBy("words").agg(
         F.min(F.struct("doc_id", "row_id", "bands", "mins")).alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -286,7 +286,7 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = members.where("row_id <> center").select(F.col("center").alias("a"), F.col("row_id").alias("b")).distinct()
     likely = checkpointed(
         stars.join(mins.toDF("a", "left"), "a").join(mins.toDF("b", "right"), "b").select("a", "b", "left", "right")
-        .mapInArrow(partial(_prune, threshold=threshold, tolerance=tolerance), "a long, b long"))
+        .mapInArrow(releasing(_prune, threshold=threshold, tolerance=tolerance), "a long, b long"))
     grouped = components(likely)
     in_family = checkpointed(members.select("row_id").distinct().join(
         grouped.withColumnRenamed("id", "row_id"), "row_id", "left").select(
@@ -309,7 +309,7 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "row_id", "comp")
     bridges = _in_order(meeting.join(mins, "row_id"), ["bucket", "lo", "hi"]).select(
         "bucket", "lo", "hi", "block", "comp", "mins").mapInArrow(
-        partial(_bridges, threshold=threshold, tolerance=tolerance), "a long, b long")
+        releasing(_bridges, threshold=threshold, tolerance=tolerance), "a long, b long")
     united = components(bridges).select(F.col("id").alias("comp"), F.col("comp").alias("low"))
     sizes_of = lambda df: df.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     families = in_family.join(united, "comp", "left").select("row_id", F.coalesce("low", "comp").alias("comp"))
@@ -317,7 +317,7 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Every document against its own family, exactly.
     sets = checkpointed(source.select("row_id", "text").join(families.select("row_id"), "row_id", "left_semi").mapInArrow(
-        partial(_sets, size=shingle_words), "row_id long, items binary"))
+        releasing(_sets, size=shingle_words), "row_id long, items binary"))
     cut = families.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn(
         "parts", F.ceil(F.col("n") / GUEST_ROWS).cast("int")).withColumn(
         "home", _spread(F.col("row_id"), F.col("blocks"), 3))   # of two blocks, only the earlier one's guests tell links
@@ -331,7 +331,7 @@ def linked_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tasks = _in_order(guests.unionByName(hosts).join(held, "row_id"), ["comp", "block", "part"], "guest").select(
         "comp", "block", "part", "guest", "tells", "row_id", "copies", "items")
     counted = checkpointed(tasks.mapInArrow(
-        partial(_count_links, threshold=threshold), "row_id long, other long, links long"))
+        releasing(_count_links, threshold=threshold), "row_id long, other long, links long"))
     classes = components(counted.where("other IS NOT NULL").select(F.col("row_id").alias("a"), F.col("other").alias("b")))
     groups = counted.groupBy("row_id").agg(F.sum("links").alias("links")).join(
         classes.select(F.col("id").alias("row_id"), F.col("comp").alias("group")), "row_id")
@@ -358,8 +358,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` (a stored table) with one row of each class: the one with the smallest id. All columns stay."""
+    """``docs`` (a stored table) with one row of each class: the one with the smallest id. All columns stay.
+
+    A null id comes after all others; of rows with the same id the one that lies first in the table stays. Texts without a
+    shingle (null, empty, blank) are classes of their own and all stay. An empty table gives no rows."""
     rows, row_id, linked = linked_groups(docs, id_col, text_col, **options)
-    stay = linked.groupBy("group").agg(F.min(F.struct("doc_id", "row_id")).alias("stay")).select(
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_id")
+    stay = linked.groupBy("group").agg(F.min(first).alias("stay")).select(
         F.col("stay.row_id").alias(row_id))
     return rows.join(stay, row_id, "left_semi").drop(row_id)

@@ -213,7 +213,10 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text",
     """The rows of ``docs`` whose text is in one of the model's languages: not ``und``, and at least ``min_score``
     of its n-grams known unless there are too few to tell.
 
-    ``min_score`` may differ by language (see :func:`least_scores`); languages that it leaves out have ``MIN_SCORE``."""
+    ``min_score`` may differ by language (see :func:`least_scores`); languages that it leaves out have ``MIN_SCORE``. Null and
+    empty texts and those without a letter go. A text that fits two languages equally counts as the more frequent one of
+    them (then the first by name). Ids are not looked at: repeated rows and null ids are judged like others, and all columns
+    stay as they are. An empty table gives no rows."""
     least = min_score if isinstance(min_score, dict) else dict.fromkeys(model.languages, min_score)
     run = partial(_classified, model=model, text_col=text_col, names=("", ""), keep_from=least)
     return docs.mapInArrow(run, docs.schema)

@@ -183,7 +183,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
                     **options) -> DataFrame:
     """The mix as rows like those of ``docs``: one per document and time it is taken, in no order.
 
-    Where a source's run begins or ends inside a document, only the words taken are kept, with single spaces."""
+    Where a source's run begins or ends inside a document, only the words taken are kept, with single spaces. Texts without
+    a word (null, empty, blank) are taken by no mix and go. Repeated rows and null ids are documents of their own, a null
+    source is a source; all other columns stay as they are. An empty table gives no rows."""
     mix = plan_mix(docs, id_col, source_col, text_col, **options)
     taken = spans(mix, options.get("max_repeats", MAX_REPEATS), by_shard=False).select(
         F.col("row_id").alias(mix.row_id), "size", "word_from", "word_to")

@@ -76,8 +76,9 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = langid.remainder(F.col("doc_id"), 5) == 0
     model = toxicity.learn(docs.where(~held_out), labels)
-    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select(
-        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model, spans="sentences")
+    spans = F.array_join(F.transform("sentences", lambda s: F.concat_ws(":", s.start.cast("string"), s.end.cast("string"))), ",")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), spans.alias("sentences"))
 
 
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,7 +27,7 @@ SAMPLE_DOCS = 10_000    #: expected number of labelled documents that are learne
 FEATURES = 3_000        #: features kept, by how surely they go with label 1
 MIN_DOCS, MIN_SURETY = 4, 3.0
 STARTS, ENDS = range(2, 8), range(3, 6)
-STEPS, RATE, DECAY = 300, 0.05, 1e-4
+STEPS, RATE, DECAY = 400, 0.05, 1e-4
 CACHE_WORDS = 400_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -54,14 +54,13 @@ class Model:
         if found is None:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
-            found = self.known[word] = tuple(self.numbers[f] for f in features(word) if f in self.numbers)
+            found = self.known[word] = tuple(self.numbers[f] for f in features(word.lower()) if f in self.numbers)
         return found
 
     def sentences(self, text: str | None) -> Iterator[tuple[int, int, set[int]]]:
-        """Sentences with a known feature: start, end and features."""
-        low = text.lower() if text else ""
+        """Sentences with a known feature: start, end (code points of ``text``, end exclusive) and features."""
         start, found, end = 0, set(), 0
-        for m in _TOKENS.finditer(low) if self.numbers else ():
+        for m in _TOKENS.finditer(text) if text and self.numbers else ():
             word, end = m[0], m.end()
             if word in _STOPS:
                 if found:
@@ -76,7 +75,7 @@ class Model:
         """The features of each sentence that has any, without positions."""
         out: list[set[int]] = []
         current: set[int] | None = None
-        for word in _TOKENS.findall(text.lower()) if text and self.numbers else ():
+        for word in _TOKENS.findall(text) if text and self.numbers else ():
             if word in _STOPS:
                 current = None
             elif own := self.of(word):
@@ -100,7 +99,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = {w for w in _TOKENS.findall(text.lower()) if w not in _STOPS}
+            words = {w.lower() for w in _TOKENS.findall(text) if w not in _STOPS}
             for f in {f for w in words for f in features(w)}:
                 counts.setdefault(f, [0, 0])[toxic] += 1
             if len(counts) > 300_000:
@@ -150,22 +149,29 @@ def fit(sentences: np.ndarray, sizes: np.ndarray, feature_of: np.ndarray, toxic:
     return weights, float(bias)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample_docs: int = SAMPLE_DOCS, n_features: int = FEATURES) -> Model:
-    """A model from the documents that ``labels`` (same id column) marks 0 or 1; others and null texts teach nothing.
-
-    The sample is chosen by a hash of the id among the labelled ids, and is small enough to be broadcast; texts are
-    not shuffled. With one label only, no feature tells anything and all scores are 0."""
-    ids = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"))
+def sample_of(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+              sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """About ``sample_docs`` labelled rows ``text, toxic, draw``, chosen by a hash of id and text; equal rows are one, so it
+    holds no more than that, whatever repeats. What is drawn is small enough to be broadcast; texts are not shuffled before
+    they are drawn."""
+    given = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn(
+        "said", F.xxhash64("text"))
     marked = labels.where(F.col(label_col).isin(0, 1)).select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
-    known = checkpointed(ids.distinct().join(marked, "id").withColumn(
-        "draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))))
+        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).distinct()
+    known = checkpointed(given.select("id", "said").distinct().join(marked, "id").withColumn(
+        "draw", F.pmod(F.xxhash64("id", "said"), F.lit(1 << 30))))
     limit = int(min(1.0, sample_docs / max(known.count(), 1)) * (1 << 30))
-    drawn = known.where(F.col("draw") < limit).select("id", "toxic", "draw")
-    sample = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(drawn), "id").select("text", "toxic", "draw")
+    drawn = known.where(F.col("draw") < limit)
+    return given.join(F.broadcast(drawn), ["id", "said"]).groupBy("id", "said", "toxic", "draw").agg(F.first("text").alias("text")).select(
+        "text", "toxic", "draw")
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          sample_docs: int = SAMPLE_DOCS, n_features: int = FEATURES) -> Model:
+    """A model from the documents that ``labels`` (same id column) marks 0 or 1, or a sample of them (:func:`sample_of`);
+    others and null texts teach nothing. An id that is marked both ways teaches both. With one label only, no feature tells
+    anything and all scores are 0."""
+    sample = checkpointed(sample_of(docs, labels, id_col, text_col, label_col, sample_docs))
     n, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not positive or positive == n:
         return Model({}, np.zeros(0), 0.0)
@@ -190,20 +196,32 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, name: str) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, names: list[str], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        scores = [model.score(t) for t in batch.column(text_col).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
-                                         names=[*batch.schema.names, name])
-
-
-def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+        texts = batch.column(text_col).to_pylist()
+        columns = [pa.array([model.score(t) for t in texts], pa.float64())]
+        if len(names) > 1:
+            spans = [[(start, end) for start, end, found in model.sentences(t) if model.chance(found) >= least] if score >= least else []
+                     for t, score in zip(texts, columns[0].to_pylist())]
+            columns.append(pa.array([[{"start": a, "end": b} for a, b in found] for found in spans],
+                                    pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score", spans: str | None = None,
+          least: float = 0.5) -> DataFrame:
     """``docs`` with the probability that a reader would label the document toxic, from its whole text.
 
-    Null and empty texts score 0; the new column gets a free name if ``name`` is taken."""
-    name = fresh(docs.columns, name)
-    return docs.mapInArrow(partial(_scored, model=model, text_col=text_col, name=name),
-                           T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    With ``spans`` a column of that name tells the sentences that reach ``least`` in documents that reach it: start and end in
+    code points of the text as given, end exclusive. Null and empty texts score 0; a new column gets a free name if its name
+    is taken."""
+    names = [fresh(docs.columns, name)]
+    added = [T.StructField(names[0], T.DoubleType())]
+    if spans:
+        names.append(fresh([*docs.columns, *names], spans))
+        place = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+        added.append(T.StructField(names[1], T.ArrayType(place)))
+    return docs.mapInArrow(partial(_scored, model=model, text_col=text_col, names=names, least=least), T.StructType([*docs.schema.fields, *added]))
 
 
 def _located(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> Iterator[pa.RecordBatch]:
@@ -221,6 +239,7 @@ def _located(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> I
 
 def offending_sentences(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
                         least: float = 0.5) -> DataFrame:
-    """``doc_id, start, end, score`` of the sentences that reach ``least`` (code points of the lower-cased text)."""
+    """``doc_id, start, end, score`` of the sentences that reach ``least``, in all documents (code points of the text
+    as given, end exclusive)."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         partial(_located, model=model, least=least), "doc_id long, start int, end int, score double")

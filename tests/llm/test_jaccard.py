@@ -116,3 +116,10 @@ def test_components(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None), (2, "")]])
 def test_nothing_to_compare(stored, rows):
     assert result(stored(rows, "doc_id long, text string")) == brute_force(rows)
+
+
+def test_null_ids_come_last(stored):
+    text = "one two three four five six seven"
+    docs = stored([(None, text), (5, text), (3, text), (None, "another text of a few words"), (None, ""), (None, None)], "doc_id long, text string")
+    kept = sorted((str(r.doc_id), str(r.text)) for r in jaccard.keep_one_of_each(docs).collect())
+    assert kept == [("3", text), ("None", ""), ("None", "None"), ("None", "another text of a few words")]

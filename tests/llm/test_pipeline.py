@@ -63,6 +63,13 @@ def test_odd_rows(spark, stored, folder):
     check_stages(spark, docs, folder)
 
 
+def test_null_ids(spark, stored, folder):
+    given, known, single, apart, mixed, packed = outputs(spark, stored(ODD_ROWS, ODD_SCHEMA), folder)
+    assert {r.text for r in known.collect() if r.doc_id is None} == {"The the"}
+    assert sum(r.doc_id is None for r in single.collect()) == sum(r.doc_id is None for r in apart.collect()) == 1
+    assert any(r.doc_id is None for r in mixed.collect()) and any(r.doc_id is None for r in packed.collect())
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -79,3 +79,41 @@ def test_labels_that_tell_nothing(planted, spark):
     for useless in (labels.where("toxic = 1"), labels.where("toxic > 5"), spark.createDataFrame([(1, None), (None, 1)], labels.schema)):
         model = toxicity.learn(docs, useless)
         assert model.score("vilest") == 0.0
+
+
+def test_spans_are_those_of_the_given_text(planted):
+    docs, labels = planted
+    model = toxicity.learn(docs, labels)
+    text = "İİ İstanbul WORDAA. Then a VILEST thing! Wordab"
+    scored = toxicity.score(docs.limit(1).selectExpr("1L AS doc_id", f"'{text}' AS text"), model, spans="score").first()
+    assert [text[s.start:s.end] for s in scored.score_] == [" Then a VILEST thing!"] and scored.score >= 0.5
+    found = toxicity.offending_sentences(docs.limit(1).selectExpr("1L AS doc_id", f"'{text}' AS text"), model).collect()
+    assert [(r.start, r.end) for r in found] == [(s.start, s.end) for s in scored.score_]
+
+
+def test_repeated_ids_do_not_enlarge_the_sample(spark, stored):
+    rows = [(1, "vilest text")] * 500 + [(2, f"plain text {i % 3}") for i in range(500)] + [(None, "null id")]
+    docs, labels = stored(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0), (2, 0), (None, 1)], "doc_id long, toxic int")
+    held = toxicity.sample_of(docs, labels)
+    assert sorted((r.text, r.toxic) for r in held.collect()) == [("plain text 0", 0), ("plain text 1", 0), ("plain text 2", 0), ("vilest text", 1)]
+
+
+def test_gradient_is_that_of_the_likelihood(monkeypatch):
+    """One small step of the fit against a plain likelihood, by differences."""
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    sentences, sizes = np.array([2, 1, 1]), np.array([1, 2, 1, 1])
+    feature_of, toxic, start = np.array([0, 1, 2, 1, 0]), np.array([1, 0, 1]), np.array([0.3, -0.2, 0.1])
+
+    def loss(weights, bias):
+        bags = [[[0], [1, 2]], [[1]], [[0]]]
+        total = 0.0
+        for bag, y in zip(bags, toxic):
+            clean = np.prod([1 - 1 / (1 + np.exp(-(bias + sum(weights[f] for f in s)))) for s in bag])
+            total -= np.log(1 - clean) if y else np.log(clean)
+        return total / 3 + toxicity.DECAY / 2 * (weights ** 2).sum()
+
+    weights, bias = toxicity.fit(sentences, sizes, feature_of, toxic, start)
+    for k in range(4):      # the first step of Adam goes against the sign of each derivative
+        step = np.eye(4)[k] * 1e-6
+        slope = loss(start + step[:3], -4 + step[3]) - loss(start - step[:3], -4 - step[3])
+        assert np.sign(np.append(start - weights, -4 - bias)[k]) == np.sign(slope)
