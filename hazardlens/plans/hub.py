@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 
 from hazardlens.schema import QUALITY_FLAGS, QUALITY_LABELS, SEVERITY_BANDS, WEEKDAYS
 
-def _n() -> Column:
-    return F.count(F.lit(1)).alias("n")
+def _n(df: DataFrame, name: str = "n") -> Column:
+    """Events of a group. Rows with a ``weight`` stand for that many (see :mod:`hazardlens.operators.rollups`)."""
+    return (F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))).alias(name)
+
+
+def _mean(df: DataFrame, c: str) -> Column:
+    if "weight" not in df.columns:
+        return F.avg(c)
+    return F.sum(F.col(c) * F.col("weight")) / F.sum(F.when(F.col(c).isNotNull(), F.col("weight")))
 
 
 # ---- base columns ----
@@ -99,7 +106,7 @@ def known_country(base: DataFrame) -> DataFrame:
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` most frequent values with their counts; the value breaks ties."""
-    return df.groupBy(column).agg(_n()).orderBy(F.col("n").desc(), column).limit(n)
+    return df.groupBy(column).agg(_n(df)).orderBy(F.col("n").desc(), column).limit(n)
 
 
 def only_top(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -110,11 +117,11 @@ def only_top(df: DataFrame, column: str, n: int) -> DataFrame:
 # ---- overview ----
 
 def daily_totals(base: DataFrame) -> DataFrame:
-    return base.groupBy("day").agg(_n())
+    return base.groupBy("day").agg(_n(base))
 
 
 def daily_by_source(base: DataFrame) -> DataFrame:
-    return base.groupBy("day", "source").agg(_n())
+    return base.groupBy("day", "source").agg(_n(base))
 
 
 def kpis(base: DataFrame, top_countries: int = 12) -> DataFrame:
@@ -127,7 +134,11 @@ def kpis(base: DataFrame, top_countries: int = 12) -> DataFrame:
     dims = ["day", "source", "event_type", "country_resolved", "severity"]
     sets = [[F.col(d)] for d in dims]
     kind = F.concat_ws("", *[F.when(F.grouping(d) == 0, F.lit(d)) for d in dims])
-    counts = base.groupingSets(sets, *dims).agg(_n(), kind.alias("kind"))
+    return kpi_figures(base.groupingSets(sets, *dims).agg(_n(base), kind.alias("kind")), top_countries)
+
+
+def kpi_figures(counts: DataFrame, top_countries: int = 12) -> DataFrame:
+    """The headline figures from counts ``n`` per value of each ``kind``."""
     by_size = Window.partitionBy("kind").orderBy(
         F.when(F.col("country_resolved") == "UNK", 1).otherwise(0), F.col("n").desc(), "country_resolved")
     counts = counts.withColumn("rank", F.row_number().over(by_size))
@@ -177,7 +188,7 @@ def share_of_day(base: DataFrame) -> DataFrame:
 
 def count_matrix(base: DataFrame, rows: str, columns: str, values: list) -> DataFrame:
     """Zero-filled counts of ``rows`` x ``columns``; the listed values become columns."""
-    return base.groupBy(rows).pivot(columns, values).count().na.fill(0)
+    return base.groupBy(rows).pivot(columns, values).agg(_n(base)).na.fill(0)
 
 
 # ---- timing ----
@@ -186,7 +197,7 @@ def weekday_hour_matrix(base: DataFrame) -> DataFrame:
     """Seven rows in week order with one column per hour; weekdays without events are all zero."""
     spark = base.sparkSession
     hours = list(range(24))
-    counts = base.groupBy("weekday").pivot("hour", hours).count()
+    counts = base.groupBy("weekday").pivot("hour", hours).agg(_n(base))
     rows = ", ".join(f"('{d}', {i})" for i, d in enumerate(WEEKDAYS))
     week = spark.sql(f"SELECT * FROM VALUES {rows} AS week(weekday, weekday_no)")
     joined = week.join(counts, "weekday", "left").na.fill(0, [str(h) for h in hours])
@@ -200,7 +211,7 @@ def source_tempo(base: DataFrame) -> DataFrame:
 
 
 def top_type_trend(base: DataFrame, n: int = 8) -> DataFrame:
-    return only_top(base, "event_type", n).groupBy("day", "event_type").agg(_n())
+    return only_top(base, "event_type", n).groupBy("day", "event_type").agg(_n(base))
 
 
 # ---- severity ----
@@ -210,7 +221,7 @@ def severity_boxes(base: DataFrame, n: int = 8) -> DataFrame:
 
     Works on (type, severity) counts: at most 1001 severities per type.
     """
-    counts = only_top(base, "event_type", n).groupBy("event_type", "severity").agg(_n())
+    counts = only_top(base, "event_type", n).groupBy("event_type", "severity").agg(_n(base))
     sev = F.col("severity").cast("double")
     boxes = counts.groupBy("event_type").agg(
         F.sum("n").alias("events"), F.min(sev).alias("min_severity"),
@@ -227,12 +238,12 @@ def severity_boxes(base: DataFrame, n: int = 8) -> DataFrame:
 def severity_histogram(base: DataFrame, bins: int = 30) -> DataFrame:
     """Counts by source in equal bins of [0, 1]; the last bin includes 1."""
     bin_no = F.least(F.width_bucket(_decimal(F.col("severity")), F.lit(0.0), F.lit(1.0), F.lit(bins)), F.lit(bins))
-    return base.groupBy("source", bin_no.cast("int").alias("bin")).agg(_n())
+    return base.groupBy("source", bin_no.cast("int").alias("bin")).agg(_n(base))
 
 
 def severity_mix(base: DataFrame) -> DataFrame:
     """Counts and share per source and band, every band present."""
-    counts = base.groupBy("source", "severity_band").agg(_n())
+    counts = base.groupBy("source", "severity_band").agg(_n(base))
     grid = counts.select("source").distinct().withColumn(
         "severity_band", F.explode(F.array(*[F.lit(b) for b in SEVERITY_BANDS])))
     filled = grid.join(counts, ["source", "severity_band"], "left").na.fill(0, ["n"])
@@ -241,32 +252,32 @@ def severity_mix(base: DataFrame) -> DataFrame:
 
 
 def mean_severity_matrix(base: DataFrame, types: list[str], n: int = 8) -> DataFrame:
-    return only_top(base, "event_type", n).groupBy("source").pivot("event_type", types).avg("severity").na.fill(0.0)
+    return only_top(base, "event_type", n).groupBy("source").pivot("event_type", types).agg(_mean(base, "severity")).na.fill(0.0)
 
 
 # ---- geography ----
 
 def country_counts(base: DataFrame, n: int | None = None) -> DataFrame:
     known = known_country(base)
-    return known.groupBy("country_resolved").agg(_n()) if n is None else top_values(known, "country_resolved", n)
+    return known.groupBy("country_resolved").agg(_n(known)) if n is None else top_values(known, "country_resolved", n)
 
 
 def country_risk(base: DataFrame, n: int = 12) -> DataFrame:
     risk = known_country(base).groupBy("country_resolved").agg(
-        F.count(F.lit(1)).alias("events"), F.avg("severity").alias("avg_severity"),
-        F.max("severity").alias("max_severity"), F.round(F.avg("has_any_geo") * 100.0, 1).alias("geo_coverage"))
+        _n(base, "events"), _mean(base, "severity").alias("avg_severity"),
+        F.max("severity").alias("max_severity"), F.round(_mean(base, "has_any_geo") * 100.0, 1).alias("geo_coverage"))
     return risk.orderBy(F.col("events").desc(), "country_resolved").limit(n)
 
 
 def country_latest(base: DataFrame, n: int = 12) -> DataFrame:
     latest = known_country(base).groupBy("country_resolved").agg(
-        F.count(F.lit(1)).alias("events"), F.avg("severity").alias("avg_severity"),
+        _n(base, "events"), _mean(base, "severity").alias("avg_severity"),
         F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm").alias("latest_ts"))
     return latest.orderBy(F.col("events").desc(), "country_resolved").limit(n)
 
 
 def month_by_country(base: DataFrame, n: int = 12) -> DataFrame:
-    return only_top(known_country(base), "country_resolved", n).groupBy("month", "country_resolved").agg(_n())
+    return only_top(known_country(base), "country_resolved", n).groupBy("month", "country_resolved").agg(_n(base))
 
 
 def country_source_matrix(base: DataFrame, sources: list[str], n: int = 12) -> DataFrame:
@@ -280,19 +291,19 @@ INDICATORS = [*QUALITY_FLAGS, "has_any_geo", "completeness_score"]
 
 def quality_summary(base: DataFrame) -> DataFrame:
     """Mean of each indicator, one row per indicator."""
-    means = base.agg(*[F.avg(c).alias(c) for c in INDICATORS])
+    means = base.agg(*[_mean(base, c).alias(c) for c in INDICATORS])
     pairs = ", ".join(f"'{QUALITY_LABELS[c]}', {c}" for c in INDICATORS)
     longform = means.select(F.expr(f"stack({len(INDICATORS)}, {pairs}) AS (metric, coverage)"))
     return longform.withColumn("coverage_pct", F.round(F.col("coverage") * 100, 1))
 
 
 def quality_by(base: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
-    return base.groupBy(key).agg(*[F.round(F.avg(c) * 100, 1).alias(c) for c in columns or INDICATORS])
+    return base.groupBy(key).agg(*[F.round(_mean(base, c) * 100, 1).alias(c) for c in columns or INDICATORS])
 
 
 def quality_trend(base: DataFrame) -> DataFrame:
     columns = ["completeness_score", "has_any_geo", "has_text", "has_classify_conf"]
-    return base.groupBy("day").agg(*[F.avg(c).alias(c) for c in columns])
+    return base.groupBy("day").agg(*[_mean(base, c).alias(c) for c in columns])
 
 
 def quality_by_top_type(base: DataFrame, n: int = 8) -> DataFrame:

@@ -9,6 +9,7 @@ from hazardlens.functions.text import post_link
 from hazardlens.operators import explore as X
 from hazardlens.operators import keywords as KW
 from hazardlens.operators import leadtime as LT
+from hazardlens.operators import pages as PG
 from hazardlens.operators import themes as TH
 from hazardlens.plans.inputs import Inputs
 from hazardlens.plans.lab import compare_conditions
@@ -173,6 +174,13 @@ def _(i: Inputs) -> DataFrame:
     return X.page_after(rows, "2024-01-15 12:00:00", "~", 50).select("event_id", "event_type", "ts")
 
 
+@query("l01_page_by_position", "SELECT event_id, event_type, ts FROM enriched ORDER BY ts DESC, event_id LIMIT 7 OFFSET 910")
+def _(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "pages")
+    PG.write_pages(i.enriched.select("event_id", "event_type", "ts"), path, files=16)
+    return PG.page_at(i.spark, path, 130, 7).rows
+
+
 @query("l02_top_keywords", "SELECT year, country, term, count FROM keywords ORDER BY count DESC, year, country, term "
                            "LIMIT 20")
 def _(i: Inputs) -> DataFrame:

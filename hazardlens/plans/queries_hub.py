@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators.explore import distinct_values
+from hazardlens.operators.rollups import Rollups
 from hazardlens.plans import hub as H
 from hazardlens.plans.inputs import EVENT_TYPES, SOURCES, Inputs
-from hazardlens.plans.registry import query, rounded
+from hazardlens.plans.registry import query, rounded, sql_of
 from hazardlens.schema import QUALITY_FLAGS, QUALITY_LABELS, SEVERITY_BANDS
+from hazardlens.session import scratch_path
 
 
 def _count_columns(column: str, values: list[str]) -> str:
@@ -224,3 +229,53 @@ def _(i: Inputs) -> DataFrame:
 @query("u08_country_list", "SELECT DISTINCT country_resolved FROM hub ORDER BY country_resolved LIMIT 200")
 def _(i: Inputs) -> DataFrame:
     return distinct_values(i.hub, "country_resolved", 200)
+
+
+# ---- the same reports from daily cubes ----
+
+_ROLLUPS: dict[tuple[str, str], str] = {}
+_ROLLUPS_LOCK = threading.Lock()
+_REPLACED = "2024-01-10"
+
+
+def _rollups(i: Inputs) -> Rollups:
+    """Cubes of all events, written once per application: two batches, the second with late rows of every day, then a day that
+    was counted twice and is replaced."""
+    key = (i.spark.sparkContext.applicationId, i.folder)
+    with _ROLLUPS_LOCK:
+        if key not in _ROLLUPS:
+            path = scratch_path(i.spark, "rollups")
+            cubes, late = Rollups(i.spark, path), F.col("event_id").cast("long") % 3 == 2
+            cubes.add(i.enriched.where(~late), ("events", 0))
+            cubes.add(i.enriched.where(late), ("events", 1))
+            cubes.add(i.enriched.where(late), ("events", 1))       # a replay adds nothing
+            cubes.add(i.enriched.where(F.to_date("ts") == _REPLACED))
+            cubes.replace_days(i.enriched, [_REPLACED])
+            cubes.tidy()
+            _ROLLUPS[key] = path
+    return Rollups(i.spark, _ROLLUPS[key])
+
+
+def _from_rollups(name: str, of: str, report: Callable[[Rollups], DataFrame]) -> None:
+    """Register a report from cubes beside the one from events: both have the same counterpart."""
+    query(name, sql_of(of))(lambda i: report(_rollups(i)))
+
+
+_from_rollups("a04_kpi_block_rollup", "a04_kpi_block", lambda r: rounded(
+    r.kpis(), "avg_per_day", "median_severity", "top_country_share_pct"))
+_from_rollups("a05_daily_totals_rollup", "a05_daily_totals", lambda r: H.daily_totals(r.base("hours")))
+_from_rollups("a07_source_type_matrix_rollup", "a07_source_type_matrix", lambda r: H.count_matrix(
+    r.base("types"), "source", "event_type", EVENT_TYPES))
+_from_rollups("a08_weekday_hour_matrix_rollup", "a08_weekday_hour_matrix", lambda r: H.weekday_hour_matrix(r.base("hours")))
+_from_rollups("a11_severity_boxes_rollup", "a11_severity_boxes", lambda r: rounded(
+    H.severity_boxes(r.base("severities")), "min_severity", "q1", "median", "q3", "max_severity"))
+_from_rollups("a12_severity_histogram_rollup", "a12_severity_histogram", lambda r: H.severity_histogram(r.base("severities")))
+_from_rollups("a13_severity_bands_rollup", "a13_severity_bands", lambda r: H.severity_mix(r.base("severities")).drop("pct"))
+_from_rollups("a15_country_risk_rollup", "a15_country_risk", lambda r: rounded(H.country_risk(r.base("places")), "avg_severity"))
+_from_rollups("a17_month_by_country_rollup", "a17_month_by_country", lambda r: H.month_by_country(r.base("places")))
+_from_rollups("a19_country_latest_rollup", "a19_country_latest", lambda r: rounded(H.country_latest(r.base("places")), "avg_severity"))
+
+
+@query("a20_quality_summary_rollup", f"SELECT metric, coverage FROM ({sql_of('a20_quality_summary')})")
+def _(i: Inputs) -> DataFrame:
+    return rounded(H.quality_summary(_rollups(i).base("quality")), "coverage").drop("coverage_pct")

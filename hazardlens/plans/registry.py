@@ -12,6 +12,7 @@ from hazardlens.plans.inputs import Inputs
 Build = Callable[[Inputs], DataFrame]
 _BUILDERS: dict[str, Build] = {}
 _ORACLES: dict[str, str] = {}
+_GIVEN: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
@@ -23,12 +24,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
         _BUILDERS[name] = build
         if sql is not None:
             from hazardlens.plans.oracle import with_views
-            _ORACLES[name] = with_views(sql)
+            _GIVEN[name], _ORACLES[name] = sql, with_views(sql)
         return build
 
     return register
 
 
+def sql_of(name: str) -> str:
+    """The counterpart that a query registered before continues the shared list with."""
+    return _GIVEN[name]
+
+
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Both engines add doubles in their own order: compare averages at a fixed number of places."""
     return df.withColumns({c: F.round(F.col(c).cast("double"), places) for c in columns})
