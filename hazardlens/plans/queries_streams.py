@@ -27,6 +27,9 @@ def _stream_session(i: Inputs) -> SparkSession:
     session = i.spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", str(i.spark.sparkContext.defaultParallelism))
+    # Keyed state with timers needs a store of this kind, whatever the session was built with.
+    session.conf.set("spark.sql.streaming.stateStore.providerClass",
+                     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return session
 
 
