@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardlens.llm.common import checkpointed, with_row_id
+from hazardlens.llm.common import checkpointed, releasing, with_row_id
 
 BLOCK_BYTES = 4096
 #: Buckets of the naming sort: many, so that each holds few blocks at any size of corpus.
@@ -94,10 +93,10 @@ def document_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows, row_id = with_row_id(docs)
     source = rows.select(F.col(row_id).alias("row_id"), F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
-    blocks = source.mapInArrow(partial(_dictionary, size=block_bytes), "chunk long, local int, block binary")
+    blocks = source.mapInArrow(releasing(_dictionary, size=block_bytes), "chunk long, local int, block binary")
     names = _named(blocks, "block").select("chunk", "local", "name")
     placed = source.mapInArrow(
-        partial(_rows, size=block_bytes),
+        releasing(_rows, size=block_bytes),
         "chunk long, row_id long, doc_id long, text_sha256 string, blocks array<int>",
     ).select("chunk", "row_id", "doc_id", "text_sha256", F.size("blocks").alias("n"),
              F.posexplode("blocks").alias("pos", "local"))

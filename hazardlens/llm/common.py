@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,13 +61,16 @@ def slices(sizes, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def releasing(work: Callable[..., Iterator[pa.RecordBatch]], **options) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``work`` for ``mapInArrow``. When a task ends its worker gives Arrow's unused memory back, as an executor keeps its
-    workers while it goes on with other work."""
+    """``work`` for ``mapInArrow``. When a task ends its worker gives unused memory back, as an executor keeps its workers
+    while it goes on with other work."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from work(batches, **options)
         finally:
             pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+            if trim is not None:
+                trim(0)
 
     return run
 
