@@ -6,6 +6,8 @@ displaced count, alert colour and heavy-damage wording. Only the first match of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ HEAVY_DAMAGE = r"(?iU)\b(destroyed|devastated|collapsed|wiped out|catastrophic|m
 DEATH_TIERS = [(1000, 1.0), (100, 0.85), (10, 0.6), (1, 0.3)]
 DISPLACED_TIERS = [(100_000, 0.9), (10_000, 0.7), (1_000, 0.5)]
 RED_SCORE, ORANGE_SCORE, DAMAGE_SCORE = 0.85, 0.55, 0.65
+SIGNALS = ("magnitude", "deaths", "displaced", "alert", "damage")
+
+
+def _in_ascii(pattern: str) -> str:
+    """``pattern`` with words, blanks and digits of ASCII only; cases still fold in Unicode. Spelled out, as what a plain
+    \\b means in Java depends on its version. A leading \\b stands before a word, any other one behind a word."""
+    word = "[0-9A-Za-z_]"
+    begun = pattern.replace(r"(?iU)\b", f"(?iu)(?<!{word})").replace("(?iU)", "(?iu)")
+    return begun.replace(r"\b", f"(?!{word})").replace(r"\s", r"[ \t\n\f\r]").replace(r"\d", "[0-9]")
 
 
 def _number(text: str, pattern: str, dtype: str) -> str:
@@ -31,14 +42,15 @@ def _tiers(value: str, tiers: list[tuple[int, float]]) -> str:
     return f"CASE {arms} ELSE 0D END"
 
 
-def _combine(text: str, magnitude: str, deaths: str, displaced: str) -> str:
+def _combine(text: str, magnitude: str, deaths: str, displaced: str, signals: tuple[str, ...] = SIGNALS,
+             spelt: Callable[[str], str] = str) -> str:
     # least() skips NULL, so a missing magnitude must be caught first or it would score 1.0.
     quake = f"CASE WHEN {magnitude} IS NULL THEN 0D ELSE least(1D, ({magnitude} - 4D) / 5D) END"
-    alert = (f"CASE WHEN {text} RLIKE r'{RED_ALERT}' THEN {RED_SCORE}D "
-             f"WHEN {text} RLIKE r'{ORANGE_ALERT}' THEN {ORANGE_SCORE}D ELSE 0D END")
-    damage = f"CASE WHEN {text} RLIKE r'{HEAVY_DAMAGE}' THEN {DAMAGE_SCORE}D ELSE 0D END"
+    alert = (f"CASE WHEN {text} RLIKE r'{spelt(RED_ALERT)}' THEN {RED_SCORE}D "
+             f"WHEN {text} RLIKE r'{spelt(ORANGE_ALERT)}' THEN {ORANGE_SCORE}D ELSE 0D END")
+    damage = f"CASE WHEN {text} RLIKE r'{spelt(HEAVY_DAMAGE)}' THEN {DAMAGE_SCORE}D ELSE 0D END"
     parts = [quake, _tiers(deaths, DEATH_TIERS), _tiers(displaced, DISPLACED_TIERS), alert, damage]
-    return f"CAST(round(greatest(0D, {', '.join(parts)}), 3) AS FLOAT)"
+    return f"CAST(round(greatest(0D, {', '.join(p for name, p in zip(SIGNALS, parts) if name in signals)}), 3) AS FLOAT)"
 
 
 def _scanned(text: str, max_chars: int | None) -> str:
@@ -54,13 +66,15 @@ def severity_sql(text: str, max_chars: int | None = None) -> str:
 
 
 def with_severity(df: DataFrame, text: str = "coalesce(text, title)", out: str = "severity",
-                  max_chars: int | None = None) -> DataFrame:
-    """Staged form: each number is extracted once and reused by its tiers."""
+                  max_chars: int | None = None, signals: tuple[str, ...] = SIGNALS, ascii_words: bool = False) -> DataFrame:
+    """Staged form: each number is extracted once and reused by its tiers. Only ``signals`` (at least one) count; with
+    ``ascii_words`` an accented letter is no part of a word."""
+    spelt = _in_ascii if ascii_words else str
     keep = [c for c in df.columns if c != out]
     head = df.withColumn("__head", F.expr(_scanned(text, max_chars)))
     numbers = head.withColumns({
-        "__mag": F.expr(_number("__head", MAGNITUDE, "DOUBLE")),
-        "__dead": F.expr(_number("__head", DEATHS, "INT")),
-        "__moved": F.expr(_number("__head", DISPLACED, "INT")),
+        "__mag": F.expr(_number("__head", spelt(MAGNITUDE), "DOUBLE")),
+        "__dead": F.expr(_number("__head", spelt(DEATHS), "INT")),
+        "__moved": F.expr(_number("__head", spelt(DISPLACED), "INT")),
     })
-    return numbers.select(*keep, F.expr(_combine("__head", "__mag", "__dead", "__moved")).alias(out))
+    return numbers.select(*keep, F.expr(_combine("__head", "__mag", "__dead", "__moved", signals, spelt)).alias(out))

@@ -171,3 +171,11 @@ def test_cue_scorer(spark):
     got = {r.event_id: (r.event_type, round(r.classify_conf, 3)) for r in type_events(df, scorer="cues").collect()}
     assert got == {"a": ("flood", 0.667), "b": ("other", 0.0), "c": ("earthquake", 1.0), "d": ("volcano", 0.5),
                    "e": ("other", 0.0)}
+
+
+def test_chosen_signals_and_ascii_words(spark):
+    texts = ["password=e31f8f02dead059b5a", "5 killed", "red alert", "M5.8", "town destroyed", "éM5.8", "çdestroyed"]
+    chosen = with_severity(_texts(spark, texts), "text", signals=("magnitude", "damage"), ascii_words=True).orderBy("id").collect()
+    assert [round(r.severity, 4) for r in chosen] == [0.0, 0.0, 0.0, 0.36, 0.65, 0.36, 0.65]
+    every = with_severity(_texts(spark, texts), "text").orderBy("id").collect()
+    assert [round(r.severity, 4) for r in every] == [0.3, 0.3, 0.85, 0.36, 0.65, 0.0, 0.0]
