@@ -148,8 +148,11 @@ def read_region_date(spark: SparkSession, path: str, version: int | None = None)
 def write_lead_time(matches: DataFrame, summary: DataFrame, matches_path: str, summary_path: str) -> None:
     """Both tables with fixed schemas, also when there are no pairs."""
     write_parquet(matches.select(*[F.col(f.name).cast(f.dataType) for f in LEAD_MATCHES.fields]), matches_path)
-    write_parquet(summary.select(*[F.col(f.name).cast(f.dataType) for f in LEAD_SUMMARY.fields]), summary_path,
-                  files=1)
+    write_lead_summary(summary, summary_path)
+
+
+def write_lead_summary(summary: DataFrame, path: str) -> None:
+    write_parquet(summary.select(*[F.col(f.name).cast(f.dataType) for f in LEAD_SUMMARY.fields]), path, files=1)
 
 
 def known_keys(incoming: DataFrame, store: DataFrame, key: str) -> DataFrame:
