@@ -18,8 +18,8 @@ from hazardlens.session import scratch_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter and those in none of the languages of ``documents.lang`` go."""
-    return langid.keep_known(docs, langid.learn(docs), min_score=langid.least_scores(docs))
+    """Documents without a letter and those in none of the languages of ``documents.lang`` go. All labelled documents teach."""
+    return langid.keep_known(docs, langid.learn(docs, sample_docs=None), min_score=langid.least_scores(docs))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

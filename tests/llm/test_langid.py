@@ -107,3 +107,14 @@ def test_foreign_texts_go_and_clean_ones_stay(spark, folder):
 def test_few_held_out_texts_leave_the_fixed_score(spark, documents):
     assert langid.least_scores(documents.limit(30)) == {}
     assert langid.least_scores(documents.where(F.lit(False))) == {}
+
+
+def test_least_scores_and_pipeline_learn_from_all_rows(spark, monkeypatch):
+    import corpus_pipeline
+
+    given = spark.createDataFrame([(k, f"some words of number {k} and more", "en") for k in range(200)], "doc_id long, text string, lang string")
+    assert langid._drawn(given, "doc_id", "text", "lang", None)[0].count() == 200 > langid._drawn(given, "doc_id", "text", "lang", 50)[0].count()
+    asked, drawn = [], langid._drawn
+    monkeypatch.setattr(langid, "_drawn", lambda *args: asked.append(args[-1]) or drawn(*args))
+    assert corpus_pipeline.known_language(spark, given, "").count() == 200
+    assert asked == [None, None, None]
