@@ -18,7 +18,8 @@ from hazardlens.session import checkpointed
 WORD = "[a-z]{2,}"
 ALPHA = 1.0
 MAX_LABELS = 500
-#: A model of at most so many weights (8 bytes each) is sent to all tasks; a larger one is joined by shuffle.
+#: A model of at most so many weights (8 bytes each) is sent to all tasks. Of a larger one the most frequent words are, and only
+#: the other words of the texts are shuffled.
 BROADCAST_WEIGHTS = 4_000_000
 #: Scores are compared at this number of places, so that the order of adding cannot decide.
 PLACES = 6
@@ -26,11 +27,13 @@ PLACES = 6
 
 @dataclass(frozen=True)
 class WordModel:
-    """``labels`` in order, each with its own log-odds; ``weights`` has ``word, weights`` (one weight per label)."""
+    """``labels`` in order, each with its own log-odds; ``weights`` has ``word, weights`` (one weight per label), ``every``
+    (how often the word was counted). Unless the model is small, words counted ``sent_from`` times or more are sent to all tasks."""
     labels: list[str]
     prior: list[float]
     weights: DataFrame
     small: bool
+    sent_from: int = 1 << 62
 
     @property
     def common(self) -> int:
@@ -63,9 +66,20 @@ def fit_words(labelled: DataFrame, text: str = "text", label: str = "label", alp
         outside = (every - F.col(f"n{k}") + alpha) / (sum(held) - held[k] + alpha * size)
         return F.log(inside) - F.log(outside)
 
-    weights = counted.select("word", F.array(*[weight(k) for k in range(len(labels))]).alias("weights"))
+    weights = checkpointed(counted.select("word", F.array(*[weight(k) for k in range(len(labels))]).alias("weights"), every.alias("every")))
     prior = [_log_odds(r.n, total) for r in shares]
-    return WordModel(labels, prior, checkpointed(weights), size * len(labels) <= BROADCAST_WEIGHTS)
+    small = size * len(labels) <= BROADCAST_WEIGHTS
+    return WordModel(labels, prior, weights, small, _sent_from(weights, BROADCAST_WEIGHTS // len(labels)))
+
+
+def _sent_from(weights: DataFrame, limit: int) -> int:
+    """The least count with at most ``limit`` words of that count or more."""
+    held = 0
+    for r in sorted(weights.groupBy("every").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.every):
+        held += r.n
+        if held > limit:
+            return r.every + 1
+    return 0
 
 
 def _log_odds(n: int, total: int) -> float:
@@ -77,15 +91,24 @@ def _log_odds(n: int, total: int) -> float:
 def classify_words(df: DataFrame, model: WordModel, key: str, text: str = "text") -> DataFrame:
     """``key, event_type, margin, known_words`` for each distinct ``key`` of ``df`` (null keys are one).
 
-    ``margin`` is the distance to the second-best label per known word. Equal scores go to the first label. Words are counted
-    by text before they meet the model; texts do not travel."""
-    counted = df.select(F.col(key).alias("key"), F.explode_outer(words_of(F.col(text))).alias("word")).groupBy("key", "word").agg(
-        F.count("word").alias("times"))
-    weights = F.broadcast(model.weights) if model.small else model.weights
+    ``margin`` is the distance to the second-best label per known word. Equal scores go to the first label. Texts do not
+    travel."""
+    words = df.select(F.col(key).alias("key"), F.explode_outer(words_of(F.col(text))).alias("word"))
     n = len(model.labels)
-    met = counted.join(weights, "word", "left").groupBy("key").agg(
-        F.sum(F.when(F.col("weights").isNotNull(), F.col("times")).otherwise(0)).alias("known_words"),
-        *[F.coalesce(F.sum(F.col("times") * F.col("weights")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(n)])
+    sums = [f"s{k}" for k in range(n)]
+
+    def summed(counted: DataFrame, times: Column) -> DataFrame:
+        return counted.groupBy("key").agg(
+            F.sum(F.when(F.col("weights").isNotNull(), times).otherwise(0)).alias("known_words"),
+            *[F.coalesce(F.sum(times * F.col("weights")[k]), F.lit(0.0)).alias(s) for k, s in enumerate(sums)])
+
+    # Words meet the frequent words where they are read: what is shuffled is one row per key and task.
+    sent = F.broadcast(model.weights if model.small else model.weights.where(F.col("every") >= model.sent_from))
+    met = summed(words.join(sent, "word", "left"), F.lit(1))
+    if not model.small:
+        other = words.where(F.col("word").isNotNull()).join(sent, "word", "left_anti").groupBy("key", "word").agg(F.count("word").alias("times"))
+        rare = model.weights.where(F.col("every") < model.sent_from)
+        met = met.unionByName(summed(other.join(rare, "word"), F.col("times"))).groupBy("key").agg(*[F.sum(c).alias(c) for c in ["known_words", *sums]])
     scores = F.array(*[F.struct(F.round(F.col(f"s{k}") + F.lit(model.prior[k]), PLACES).alias("score"), F.lit(-k).alias("k"))
                        for k in range(n)])
     order = F.reverse(F.array_sort(scores))

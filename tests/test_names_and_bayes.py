@@ -107,3 +107,18 @@ def test_one_label_and_none(spark):
     assert sorted((str(r.id), r.event_type, r.margin) for r in got) == [("1", "a", 0.0), ("None", "a", 0.0)]
     with pytest.raises(ValueError, match="labels"):
         bayes.fit_words(spark.createDataFrame([(None, "x")], "label string, text string"))
+
+
+def test_frequent_words_are_not_shuffled(spark, monkeypatch):
+    chance = random.Random(5)
+    rows = [(k % 37 if k % 19 else None, " ".join(chance.choice(["calm", "storm", "flood", "x" + "abcdefgh"[chance.randint(0, 7)] * 3,
+             "odd" + "abcdefgh"[k % 8] + "ab"[k % 2] + "z" * (k // 8)]) for _ in range(30)), "ab"[k % 2]) for k in range(120)]
+    texts = spark.createDataFrame(rows, "id int, text string, label string")
+    whole = bayes.classify_words(texts, bayes.fit_words(texts), "id")
+    monkeypatch.setattr(bayes, "BROADCAST_WEIGHTS", 12)
+    model = bayes.fit_words(texts)
+    assert not model.small and 0 < model.weights.where(F.col("every") >= model.sent_from).count() <= 6
+    told = lambda found: sorted((str(r.id), r.event_type, round(r.margin, 4), r.known_words) for r in found.collect())
+    assert told(bayes.classify_words(texts, model, "id")) == told(whole)
+    plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
