@@ -41,22 +41,23 @@ def fit_themes(docs: DataFrame, k: int = K, buckets: int = HASH_BUCKETS, max_ite
                stop_words: list[str] | None = None) -> PipelineModel:
     """Tokens -> stop words -> hashed term counts -> IDF -> K-means, fitted on all of ``docs``.
 
-    The features are stored once, so the clustering rounds read them and not the texts. A caller who wants a cheaper
-    fit hands in a sample (:func:`sampled`).
+    The term counts are stored once, so weights and clustering rounds read them and the texts are taken apart once. A caller
+    who wants a cheaper fit hands in a sample (:func:`sampled`).
     """
     remover = StopWordsRemover(inputCol="words", outputCol="tokens")
     if stop_words is not None:
         remover.setStopWords(stop_words)
-    weights = Pipeline(stages=[
-        Tokenizer(inputCol="doc", outputCol="words"), remover,
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=buckets), IDF(inputCol="tf", outputCol="features"),
+    terms = Pipeline(stages=[
+        Tokenizer(inputCol="doc", outputCol="words"), remover, HashingTF(inputCol="tokens", outputCol="tf", numFeatures=buckets),
     ]).fit(docs)
-    features = checkpointed(weights.transform(docs).select("features"))
-    n = features.count()
+    counted = checkpointed(terms.transform(docs).select("tf"))
+    n = counted.count()
     if n < k:
         raise TooFewDocuments(f"{n} documents for {k} clusters")
+    weights = IDF(inputCol="tf", outputCol="features").fit(counted)
+    features = weights.transform(counted).select("features")
     clusters = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id").fit(features)
-    return PipelineModel([*weights.stages, clusters])
+    return PipelineModel([*terms.stages, weights, clusters])
 
 
 def assign_themes(docs: DataFrame, model: PipelineModel, keep_tokens: bool = False) -> DataFrame:

@@ -99,3 +99,16 @@ def test_trained_and_hooked_scorers(spark, planted):
     assert sorted((r.event_type, r.classify_conf) for r in hooked.collect()) == [("x", 5.0), ("y", 0.0), ("y", 2000.0)]
     cut = C.classify_with_scorer(spark.createDataFrame([("a" * 2000,)], "text string"), load, max_chars=1500)
     assert cut.first().classify_conf == 1500.0
+
+
+def test_fit_takes_texts_apart_once(spark, folder):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame([(k, f"words {'abc'[k % 3] * 4} of a text") for k in range(30)], "doc_id int, doc string")
+    watched = docs.withColumn("doc", F.udf(seen, useArrow=False)("doc"))
+    assert T.fit_themes(watched, k=3, buckets=1 << 10).stages[-1].summary.k == 3
+    assert read.value == 30
