@@ -21,6 +21,8 @@ SOURCES = ["usgs", "eonet", "reliefweb", "gdacs", "gdelt", "social"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 STOP_WORDS = ["the", "and", "with", "des", "une", "der", "und"]
 CLUSTERS = 12
+#: A split may hold so many times the rows that each core would get.
+UNEVEN = 1.5
 _SMALL: dict[tuple[str, str], tuple | None] = {}
 
 
@@ -28,6 +30,22 @@ def _choose(index: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def largest_split(df: DataFrame) -> float:
+    """The part of a stored table's rows that lies in its fullest split. No column is read."""
+    per_split = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = per_split.agg(F.max("n"), F.sum("n")).first()
+    return most / total if total else 0.0
+
+
+def derived_once(df: DataFrame) -> DataFrame:
+    """``df`` as it is, with each column computed once a row, before any filter that follows.
+
+    Spark moves a filter on a derived column below it and puts the column's expression in the place of its name, once
+    for each use: a filter by severity would look for every pattern up to four times, and again for the rows that stay. Filters
+    on columns of a stored table do not need this."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("r")).select("r.*")
+
+
 class Inputs:
     """Lazily built frames over one scale-factor folder."""
 
@@ -40,9 +58,15 @@ class Inputs:
 
     def spread(self, name: str) -> DataFrame:
         """A table for row-wise work. One stored in a few splits only (at most 4, so at most 4 times
-        ``spark.sql.files.maxPartitionBytes``) is dealt out to all cores; larger ones are left alone."""
+        ``spark.sql.files.maxPartitionBytes``) is dealt out to all cores; so is one whose rows lie in fewer row groups
+        than there are cores, as splits without the start of a row group are empty. Others are left alone.
+
+        Rows are dealt by their key, which needs no sort and no memory in the task that reads them."""
         df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() <= min(4, cores - 1) else df
+        splits = df.rdd.getNumPartitions()
+        if splits <= min(4, cores - 1) or largest_split(df) > UNEVEN / cores:
+            return df.repartition(cores, *df.columns[:2])
+        return df
 
     def events_as_canonical(self, events: DataFrame) -> DataFrame:
         """Works on a batch or streaming ``events`` frame. Nation and region have 25 and 5 rows at every scale."""
