@@ -65,7 +65,7 @@ class Inputs:
         df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
         if splits <= min(4, cores - 1) or largest_split(df) > UNEVEN / cores:
-            return df.repartition(cores, *df.columns[:2])
+            return df.repartition(cores, *[c for c, kind in df.dtypes[:2] if kind != "string"] or df.columns[:1])
         return df
 
     def events_as_canonical(self, events: DataFrame) -> DataFrame:

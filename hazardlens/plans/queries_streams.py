@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators.places import resolve_places
 from hazardlens.plans.inputs import Inputs
-from hazardlens.plans.queries_feeds import _publish
+from hazardlens.plans.queries_feeds import PUBLISHED_ENCODING, _publish
 from hazardlens.plans.registry import query
 from hazardlens.schema import OFFICIAL_SOURCES, POSTS_RAW, STREAM
 from hazardlens.session import scratch_path
@@ -71,7 +71,7 @@ def _(i: Inputs) -> DataFrame:
     # Files that hold a list of events each, over many lines.
     session, out, check = _stream_session(i), scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
     landed = _publish(i.canonical, scratch_path(i.spark, "lists"), None, F.struct(*STREAM.names))
-    stream = L.read_events(session, landed, multi_line=True, files_per_trigger=10_000)
+    stream = L.read_events(session, landed, multi_line=True, files_per_trigger=10_000, encoding=PUBLISHED_ENCODING)
     L.run_to_end(L.to_parquet(stream, out, check, once=True))
     return _read(i, out).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 

@@ -24,8 +24,10 @@ MAX_SHAPES = 1000
 GDELT_FIELDS = {"id": 0, "day": 1, "actors": (26, 5, 15), "country": 53, "lat": 56, "lon": 57, "url": 60}
 
 
-def _json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+def _json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, encoding: str | None) -> DataFrame:
+    """Without an ``encoding`` each document's own is found out, which reads it byte by byte: several times slower."""
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    return (reader.option("encoding", encoding) if encoding else reader).json(path)
 
 
 def _items(df: DataFrame, column: str) -> DataFrame:
@@ -41,8 +43,8 @@ def _time(column: Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(column, F.lit(fmt)) if fmt else F.try_to_timestamp(column)
 
 
-def load_usgs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    rows = _items(_json(spark, path, S.USGS_RAW, multi_line), "features")
+def load_usgs(spark: SparkSession, path: str, multi_line: bool = True, encoding: str | None = None) -> DataFrame:
+    rows = _items(_json(spark, path, S.USGS_RAW, multi_line, encoding), "features")
     return to_canonical(
         rows, "usgs", raw=F.col("r"),
         event_id=F.col("r.id"), title=F.col("r.properties.title"), text=F.col("r.properties.place"),
@@ -50,9 +52,9 @@ def load_usgs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFr
         ts=F.timestamp_millis("r.properties.time"))
 
 
-def load_eonet(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def load_eonet(spark: SparkSession, path: str, multi_line: bool = True, encoding: str | None = None) -> DataFrame:
     """One row per event: its earliest geometry. A polygon is located at its first vertex."""
-    rows = _items(_json(spark, path, S.EONET_RAW, multi_line), "events")
+    rows = _items(_json(spark, path, S.EONET_RAW, multi_line, encoding), "events")
     points = rows.select("r", F.explode("r.geometry").alias("g"))
 
     def coordinate(i: int) -> Column:
@@ -66,16 +68,16 @@ def load_eonet(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
         lat=coordinate(1), lon=coordinate(0), ts=_time(F.col("g.date"))))
 
 
-def load_reliefweb(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    rows = _items(_json(spark, path, S.RELIEFWEB_RAW, multi_line), "data")
+def load_reliefweb(spark: SparkSession, path: str, multi_line: bool = True, encoding: str | None = None) -> DataFrame:
+    rows = _items(_json(spark, path, S.RELIEFWEB_RAW, multi_line, encoding), "data")
     return to_canonical(
         rows, "reliefweb", raw=F.col("r"),
         event_id=F.col("r.id"), title=F.col("r.fields.title"), text=F.col("r.fields.`body-html`"),
         ts=_time(F.col("r.fields.date.created")), country=F.col("r.fields.primary_country.iso3"))
 
 
-def load_gdacs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    rows = _items(_json(spark, path, S.GDACS_RAW, multi_line), "features")
+def load_gdacs(spark: SparkSession, path: str, multi_line: bool = True, encoding: str | None = None) -> DataFrame:
+    rows = _items(_json(spark, path, S.GDACS_RAW, multi_line, encoding), "features")
     return drop_duplicate_events(to_canonical(
         rows, "gdacs", raw=F.col("r"),
         event_id=F.col("r.properties.eventid"), title=F.col("r.properties.name"),
