@@ -14,6 +14,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,43 +38,56 @@ def bits_for(rows: int) -> int:
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial filters: one for each file that a task reads a part of."""
-    open_file, bitmap = None, None
+    """Partial key ranges and filters: one for each file that a task reads a part of."""
+    open_file, bitmap, low, high = None, None, None, None
     for batch in batches:
         files, rows, hashes = batch.column("file").to_pylist(), batch.column("rows").to_numpy(), batch.column("hash").to_numpy()
+        keys = batch.column("key")
         cuts = [0, *(i for i in range(1, len(files)) if files[i] != files[i - 1]), len(files)]
         for start, stop in zip(cuts[:-1], cuts[1:]):
             if start == stop:
                 continue
             if files[start] != open_file:
                 if open_file is not None:
-                    yield _row(open_file, bitmap)
-                open_file, bitmap = files[start], np.zeros(bits_for(int(rows[start])), bool)
+                    yield _row(open_file, low, high, bitmap)
+                open_file, bitmap, low, high = files[start], np.zeros(bits_for(int(rows[start])), bool), None, None
             bitmap[_places(hashes[start:stop], len(bitmap)).ravel()] = True
+            ends = pc.min_max(keys.slice(start, stop - start)).as_py()
+            low = ends["min"] if low is None else min(low, ends["min"])
+            high = ends["max"] if high is None else max(high, ends["max"])
     if open_file is not None:
-        yield _row(open_file, bitmap)
+        yield _row(open_file, low, high, bitmap)
 
 
-def _row(file: str, bitmap: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"file": [file], "filter": pa.array([np.packbits(bitmap).tobytes()], pa.binary())})
+def _row(file: str, low: bytes, high: bytes, bitmap: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"file": [file], "low": pa.array([low], pa.binary()), "high": pa.array([high], pa.binary()),
+                                       "filter": pa.array([np.packbits(bitmap).tobytes()], pa.binary())})
 
 
 def _joined(key: tuple, parts: pa.Table) -> pa.Table:
     whole = np.bitwise_or.reduce([np.frombuffer(p, np.uint8) for p in parts.column("filter").to_pylist()])
-    return pa.table({"file": [key[0].as_py()], "filter": pa.array([whole.tobytes()], pa.binary())})
+    ends = [pc.min(parts.column("low")), pc.max(parts.column("high"))]
+    return pa.Table.from_batches([_row(key[0].as_py(), *[e.as_py() for e in ends], np.unpackbits(whole))])
 
 
-def write(rows: DataFrame, key: str, path: str) -> None:
+def index_of(rows: DataFrame, key: str) -> DataFrame:
     """The index of the files that ``rows`` were read from. Rows without a key are in no filter."""
     text = F.col(key).cast("string")
     # Files lie at <commit>/<folders>/<name> below the data folder.
     file = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(.*)$", 1)
-    held = rows.select(file.alias("file"), text.alias("key"), F.xxhash64(text).alias("hash"))
-    facts = held.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
-    counted = held.where(F.col("key").isNotNull()).join(F.broadcast(facts.select("file", "rows")), "file").select("file", "rows", "hash")
-    parts = counted.mapInArrow(_filled, "file string, filter binary")
-    filters = parts.groupBy("file").applyInArrow(lambda key, group: _joined(key, group), "file string, filter binary")
-    facts.join(filters, "file", "left").select("file", "rows", "low", "high", "filter").write.parquet(path)
+    # Keys travel as bytes, whose order is that of Spark's strings.
+    held = rows.select(file.alias("file"), text.cast("binary").alias("key"), F.xxhash64(text).alias("hash"))
+    counts = held.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    counted = held.where(F.col("key").isNotNull()).join(F.broadcast(counts), "file").select("file", "rows", "key", "hash")
+    # The range is found with the filter: Spark's least and greatest of a string sort all rows of a task.
+    kind = "file string, low binary, high binary, filter binary"
+    filters = counted.mapInArrow(_filled, kind).groupBy("file").applyInArrow(lambda key, group: _joined(key, group), kind)
+    return counts.join(filters, "file", "left").select(
+        "file", "rows", F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), "filter")
+
+
+def write(rows: DataFrame, key: str, path: str) -> None:
+    index_of(rows, key).write.parquet(path)
 
 
 def _possible(batches: Iterator[pa.RecordBatch], keys: list[str], hashes: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -174,3 +174,14 @@ def test_target_size_and_concurrent_changes(spark, table, monkeypatch):
     monkeypatch.setattr(table, "_write", overtaken)
     table.compact()
     assert table.read().count() == 7        # the overwrite stands
+
+
+def test_key_ranges_are_found_without_a_sort_of_the_rows(spark, folder):
+    keys = [None, "b", "", "\u00e9", "\U0001f600", "\uffee", "a"]
+    data = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)] + [(None, 2)] * 3, "event_id string, part int")
+    data.repartition(1).write.partitionBy("part").parquet(folder + "/t/data/c")
+    index = keyindex.index_of(spark.read.parquet(folder + "/t/data/c"), "event_id")
+    assert "SortAggregate" not in index._jdf.queryExecution().executedPlan().toString()
+    found = {r.file.split("/")[1]: r for r in index.collect()}
+    assert {k: (r.rows, r.low, r.high, r["filter"] is None) for k, r in found.items()} == {
+        "part=0": (4, "", "\U0001f600", False), "part=1": (3, "b", "\uffee", False), "part=2": (3, None, None, True)}
