@@ -9,8 +9,10 @@ is a window of words no longer than the longest name, never the text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,22 +61,36 @@ def find_names(df: DataFrame, trie: NameTrie, key: str, text: str = "text") -> D
     null key or text have no names."""
     table = F.broadcast if trie.small else (lambda whole: whole)
     said = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), words_of(F.col(text)).alias("said"))
-    starts = said.select("key", "said", F.posexplode("said").alias("pos", "word")).where(
-        F.substring("word", 1, 1) != F.lower(F.substring("word", 1, 1))).select(
-        "key", "pos", F.lower("word").alias("first"), F.transform(F.slice("said", F.col("pos") + 1, trie.longest), F.lower).alias("window"))
+    # Windows are cut inside the row: words exploded beside their text would copy it once for each word.
+    windows = F.transform("said", lambda word, pos: F.when(F.substring(word, 1, 1) != F.lower(F.substring(word, 1, 1)), F.struct(
+        pos.alias("pos"), F.slice("said", pos + 1, trie.longest).alias("window"))))
+    starts = said.select("key", F.explode(F.filter(windows, lambda start: start.isNotNull())).alias("start")).select(
+        "key", "start.*", F.lower(F.col("start.window")[0]).alias("first"))
     candidates = starts.join(table(trie.roots), "first").withColumn("words", F.explode("lengths")).where(
-        F.col("words") <= F.size("window")).select("key", "pos", "words", F.array_join(F.slice("window", 1, F.col("words")), " ").alias("name"))
-    found = candidates.join(table(trie.leaves), "name").groupBy("key", "pos").agg(F.max_by(F.struct("words", "name", "place"), "words").alias("x"))
-    return _apart(found).select(F.col("key").alias(key), "pos", "x.*")
+        F.col("words") <= F.size("window")).select("key", "pos", "words", F.lower(F.array_join(F.slice("window", 1, F.col("words")), " ")).alias("name"))
+    found = candidates.join(table(trie.leaves), "name").select("key", "pos", "words", "name", "place")
+    return _apart(found).withColumnRenamed("key", key)
 
 
 def _apart(found: DataFrame) -> DataFrame:
-    """Of the names of each text the first, then the next one behind it, and so on. The names of one text meet in one row."""
-    in_order = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", F.col("x.words").alias("words")))).alias("all"))
-    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<int>").alias("kept"))
-    kept = F.aggregate("all", start, lambda done, n: F.when(n.pos >= done.free, F.struct(
-        (n.pos + n.words).alias("free"), F.concat(done.kept, F.array(n.pos)).alias("kept"))).otherwise(done), lambda done: done.kept)
-    return found.join(in_order.select("key", F.explode(kept).alias("pos")), ["key", "pos"])
+    """Of the names of each text the first and longest, then the next one behind it, and so on. The names of one text meet in
+    one task, one after the other; none is held."""
+    in_order = found.repartition("key").sortWithinPartitions("key", "pos", F.col("words").desc(), "name")
+    return in_order.mapInArrow(_kept, found.schema)
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by text and position, that begin behind the last one kept."""
+    text, free = None, 0
+    for batch in batches:
+        kept = []
+        for key, pos, words in zip(*(batch.column(c).to_pylist() for c in ("key", "pos", "words"))):
+            if key != text:
+                text, free = key, 0
+            kept.append(pos >= free)
+            if kept[-1]:
+                free = pos + words
+        yield batch.filter(pa.array(kept, pa.bool_()))
 
 
 def place_names(countries: DataFrame, cities: DataFrame) -> DataFrame:

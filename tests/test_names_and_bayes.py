@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,20 @@ def test_frequent_words_are_not_shuffled(spark, monkeypatch):
     assert told(bayes.classify_words(texts, model, "id")) == told(whole)
     plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_words_do_not_carry_their_text(spark, limit):
+    trie = names.build_trie(spark.createDataFrame(GAZETTEER, "name string, place int"), "name", F.struct("place"), [F.col("place")], limit)
+    found = names.find_names(spark.createDataFrame(list(enumerate(TEXTS)), "doc int, text string"), trie, "doc")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and not re.search(r"Generate \w+\(said#", plan) and "collect_list" not in plan
+
+
+def test_names_of_one_text_go_on_over_batches():
+    rows = [(1, 0, 2), (1, 1, 3), (1, 2, 1), (2, 0, 1), (2, 0, 1), (3, 5, 2), (3, 6, 1), (3, 7, 1)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("key", "pos", "words"), r)) for r in rows])
+    for size in (1, 2, 3, 8):
+        cut = [batch.slice(k, size) for k in range(0, len(rows), size)]
+        got = [tuple(r.values()) for part in names._kept(iter(cut)) for r in part.to_pylist()]
+        assert got == [(1, 0, 2), (1, 2, 1), (2, 0, 1), (3, 5, 2), (3, 7, 1)]
