@@ -124,10 +124,12 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     # One small file in a micro-batch, merged by size as they come; the second run finds nothing new.
     session, out, check = _stream_session(i), scratch_path(i.spark, "out"), scratch_path(i.spark, "check")
+    # Files as large as their rows make them, not one for each core.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     landed = _out_of_order(i, i.canonical.select("event_id", *[c for c in STREAM.names if c != "event_id"]))
     for _run in range(2):
-        stream = L.enrich_stream(L.read_events(session, landed, STREAM, "parquet", files_per_trigger=1))
-        L.run_to_end(L.to_batches(stream, L.append_once(out, "events"), check, once=True))
+        stream = L.read_events(session, landed, STREAM, "parquet", files_per_trigger=1)
+        L.run_to_end(L.to_batches(stream, L.enriched(L.append_once(out, "events"), "event_id", "ts"), check, once=True))
     return SnapshotTable(i.spark, out).read().select("event_id", "severity")
 
 

@@ -33,6 +33,18 @@ def enrich_stream(events: DataFrame) -> DataFrame:
     return with_severity(typed).withColumn("cluster_id", F.lit(None).cast("int"))
 
 
+def spread(batch: DataFrame, *keys: str) -> DataFrame:
+    """A micro-batch dealt out to all cores. One of few files has few tasks, as a file's row group is not split.
+
+    Rows are dealt by ``keys``, which needs no sort and no memory in the task that reads them."""
+    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def enriched(write: Callable[[DataFrame, int], None], *keys: str) -> Callable[[DataFrame, int], None]:
+    """Score each micro-batch on all cores, whatever its number of files, and hand it to ``write``."""
+    return lambda batch, batch_id: write(enrich_stream(spread(batch, *keys)), batch_id)
+
+
 def _trigger(writer, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
 
@@ -69,10 +81,10 @@ def append_once(path: str, stream: str, partition_by: tuple[str, ...] = (), targ
     """Append to a snapshot table that remembers the stream's last batch and merges small files as they come.
 
     A replayed batch adds nothing, also after its files were merged into others. ``stream`` names the checkpoint: a stream that
-    begins anew with a fresh checkpoint needs a new name."""
+    begins anew with a fresh checkpoint needs a new name. A batch is written to files by its size, not by its number of tasks."""
     def write(batch: DataFrame, batch_id: int) -> None:
         table = SnapshotTable(batch.sparkSession, path, partition_by)
-        table.append(batch, (stream, batch_id))
+        table.append(batch if partition_by else batch.hint("rebalance"), (stream, batch_id))
         table.compact(target_bytes)
 
     return write

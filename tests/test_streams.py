@@ -71,6 +71,23 @@ def test_small_files_are_merged_and_replays_of_merged_batches_add_nothing(spark,
     assert sorted(r.event_id for r in table.read().collect()) == before
 
 
+def test_a_batch_of_one_file_is_scored_on_all_cores(spark, folder):
+    spark.range(400).select(F.col("id").cast("string").alias("event_id"), F.lit("M6.0 near").alias("title"), F.lit(None).cast("string").alias("text"),
+                            F.timestamp_seconds("id").alias("ts")).coalesce(1).write.parquet(folder + "/in")
+    batch, tasks = spark.read.parquet(folder + "/in"), []
+    assert batch.rdd.getNumPartitions() == 1
+    append = L.append_once(folder + "/t", "s")
+
+    def write(scored, batch_id):
+        tasks.append(scored.groupBy(F.spark_partition_id()).count().count())
+        append(scored, batch_id)
+
+    L.enriched(write, "event_id", "ts")(batch, 0)
+    table = SnapshotTable(spark, folder + "/t")
+    assert tasks == [spark.sparkContext.defaultParallelism] and len(table.snapshot().files) == 1
+    assert table.read().where("severity > 0").count() == 400
+
+
 def _counts(df):
     return sorted((r.window_start, r.event_type, r.n) for r in df.collect())
 
