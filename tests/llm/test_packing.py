@@ -8,8 +8,8 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hazardlens.llm import packing
-from hazardlens.llm.tokens import default_tokenizer, loaded
+from hazardlens.llm import packing, tokens
+from hazardlens.llm.tokens import WordTokens, default_tokenizer, loaded
 from tests.llm.conftest import ODD_ROWS, ODD_SCHEMA
 
 
@@ -30,6 +30,22 @@ def test_ids_are_the_tokenizers(texts):
         assert ids.tolist() == want[:-1], text
 
 
+def test_words_are_cut_in_few_passes(monkeypatch):
+    class Counted:
+        passes, pattern = 0, tokens._PIECES
+
+        def findall(self, text):
+            Counted.passes += 1
+            return self.pattern.findall(text)
+
+    monkeypatch.setattr(tokens, "_PIECES", Counted())
+    monkeypatch.setattr(tokens, "CUT_CHARS", 4000)
+    words = [odd for i in range(400) for odd in (f"word{i}'s", f"É{i},ȺɄ", f"漢{i}", f"<|endoftext|>{i}")]
+    found = list(WordTokens(default_tokenizer(), cache_words=50).documents(pa.array([" ".join(words), "", "<| 漢"])))
+    assert [ids.tolist() for ids in found] == [ids[:-1] for ids in brute_force([" ".join(words), "", "<| 漢"])]
+    assert Counted.passes < 10
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit_takes_the_tightest_bin(lengths):
