@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns, tiers and scores of the severity rule. (?U) makes \b, \s and \d Unicode-aware.
@@ -21,6 +21,13 @@ HEAVY_DAMAGE = r"(?iU)\b(destroyed|devastated|collapsed|wiped out|catastrophic|m
 DEATH_TIERS = [(1000, 1.0), (100, 0.85), (10, 0.6), (1, 0.3)]
 DISPLACED_TIERS = [(100_000, 0.9), (10_000, 0.7), (1_000, 0.5)]
 RED_SCORE, ORANGE_SCORE, DAMAGE_SCORE = 0.85, 0.55, 0.65
+#: Without these no match: a pattern, or parts of each word in lower case, none with a letter (i, k, s) that other than ASCII
+#: letters fold to. They are cheap to look for, and most texts have few of them.
+MAGNITUDE_NEEDS = r"(?U)[mM]\s?\d"
+DEATHS_NEED = ["dea", "lled", "fatal", "ualt", "ng"]
+DISPLACED_NEED = ["placed", "evacuated", "homele", "affected"]
+ALERT_NEEDS = ["alert"]
+DAMAGE_NEEDS = ["troyed", "tated", "collap", "ped out", "trop", "damage"]
 SIGNALS = ("magnitude", "deaths", "displaced", "alert", "damage")
 
 
@@ -37,18 +44,25 @@ def _number(text: str, pattern: str, dtype: str) -> str:
     return f"try_cast(nullif(regexp_extract({text}, r'{pattern}', 1), '') AS {dtype})"
 
 
+def _holds(lower: str, needed: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({lower}, '{part}')" for part in needed) + ")"
+
+
 def _tiers(value: str, tiers: list[tuple[int, float]]) -> str:
     arms = " ".join(f"WHEN {value} >= {floor} THEN {score}D" for floor, score in tiers)
     return f"CASE {arms} ELSE 0D END"
 
 
 def _combine(text: str, magnitude: str, deaths: str, displaced: str, signals: tuple[str, ...] = SIGNALS,
-             spelt: Callable[[str], str] = str) -> str:
+             spelt: Callable[[str], str] = str, lower: str | None = None) -> str:
+    """``lower``: the text in lower case, if patterns are to be tried only where it holds what they need."""
+    calm = "" if lower is None else f"WHEN NOT {_holds(lower, ALERT_NEEDS)} THEN 0D "
+    damaged = "" if lower is None else f"{_holds(lower, DAMAGE_NEEDS)} AND "
     # least() skips NULL, so a missing magnitude must be caught first or it would score 1.0.
     quake = f"CASE WHEN {magnitude} IS NULL THEN 0D ELSE least(1D, ({magnitude} - 4D) / 5D) END"
-    alert = (f"CASE WHEN {text} RLIKE r'{spelt(RED_ALERT)}' THEN {RED_SCORE}D "
+    alert = (f"CASE {calm}WHEN {text} RLIKE r'{spelt(RED_ALERT)}' THEN {RED_SCORE}D "
              f"WHEN {text} RLIKE r'{spelt(ORANGE_ALERT)}' THEN {ORANGE_SCORE}D ELSE 0D END")
-    damage = f"CASE WHEN {text} RLIKE r'{spelt(HEAVY_DAMAGE)}' THEN {DAMAGE_SCORE}D ELSE 0D END"
+    damage = f"CASE WHEN {damaged}{text} RLIKE r'{spelt(HEAVY_DAMAGE)}' THEN {DAMAGE_SCORE}D ELSE 0D END"
     parts = [quake, _tiers(deaths, DEATH_TIERS), _tiers(displaced, DISPLACED_TIERS), alert, damage]
     return f"CAST(round(greatest(0D, {', '.join(p for name, p in zip(SIGNALS, parts) if name in signals)}), 3) AS FLOAT)"
 
@@ -71,10 +85,18 @@ def with_severity(df: DataFrame, text: str = "coalesce(text, title)", out: str =
     ``ascii_words`` an accented letter is no part of a word."""
     spelt = _in_ascii if ascii_words else str
     keep = [c for c in df.columns if c != out]
-    head = df.withColumn("__head", F.expr(_scanned(text, max_chars)))
-    numbers = head.withColumns({
-        "__mag": F.expr(_number("__head", spelt(MAGNITUDE), "DOUBLE")),
-        "__dead": F.expr(_number("__head", spelt(DEATHS), "INT")),
-        "__moved": F.expr(_number("__head", spelt(DISPLACED), "INT")),
+    head = df.withColumn("__head", F.expr(_scanned(text, max_chars))).withColumn("__lower", F.lower("__head"))
+
+    def found(needs: str, pattern: str) -> Column:
+        return F.expr(f"CASE WHEN {needs} THEN regexp_extract(__head, r'{spelt(pattern)}', 1) END")
+
+    texts = head.withColumns({
+        "__mag": found(f"__head RLIKE r'{MAGNITUDE_NEEDS}'", MAGNITUDE),
+        "__dead": found(_holds("__lower", DEATHS_NEED), DEATHS),
+        "__moved": found(_holds("__lower", DISPLACED_NEED), DISPLACED),
     })
-    return numbers.select(*keep, F.expr(_combine("__head", "__mag", "__dead", "__moved", signals, spelt)).alias(out))
+    # No match gives '', which must not reach the cast: a failed number parse is a costly exception.
+    numbers = texts.withColumns({c: F.expr(f"try_cast(nullif({c}, '') AS {kind})")
+                                 for c, kind in (("__mag", "DOUBLE"), ("__dead", "INT"), ("__moved", "INT"))})
+    combined = _combine("__head", "__mag", "__dead", "__moved", signals, spelt, "__lower")
+    return numbers.select(*keep, F.expr(combined).alias(out))

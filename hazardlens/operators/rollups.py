@@ -8,6 +8,8 @@ stands for ``weight`` events.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ CUBES = {
     "places": ["country_resolved", "source", "severity", "has_any_geo"],
     "quality": ["source", "event_type", *QUALITY_FLAGS],
 }
+#: What cubes are made from.
+CUBE_INPUTS = ["source", "event_type", "ts", "severity", "country", "geo_country", "lat", "lon", "geo_lat", "geo_lon", "text", "classify_conf"]
 COLUMNS = ["hour", "source", "event_type", "severity", "country_resolved", "has_any_geo", *QUALITY_FLAGS]
 
 
@@ -58,7 +62,11 @@ class Rollups:
     def replace_days(self, enriched: DataFrame, days: list[str]) -> None:
         """Forget what was counted for ``days`` (``yyyy-MM-dd``) and count ``enriched``, all events of these days, instead."""
         folders = {f"date={day}" for day in days}
-        cubes = checkpointed(cubes_of(enriched.where(F.date_format("ts", "yyyy-MM-dd").isin(days))))
+        # Comparing dates costs little; only rows near these days are written out as text.
+        near = [F.to_date("ts") == F.try_to_date(F.lit(day)) for day in days]
+        years = F.to_date("ts").between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))     # written as they are
+        wanted = reduce(lambda a, b: a | b, near, ~years) & F.date_format("ts", "yyyy-MM-dd").isin(days)
+        cubes = checkpointed(cubes_of(enriched.where(wanted)))
 
         def make(base: Snapshot) -> Change:
             old = frozenset(f["file"] for f in base.files if f["folder"] in folders)

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators.explore import distinct_values
-from hazardlens.operators.rollups import Rollups
+from hazardlens.operators.rollups import CUBE_INPUTS, Rollups
 from hazardlens.plans import hub as H
 from hazardlens.plans.inputs import EVENT_TYPES, SOURCES, Inputs
 from hazardlens.plans.registry import query, rounded, sql_of
 from hazardlens.schema import QUALITY_FLAGS, QUALITY_LABELS, SEVERITY_BANDS
-from hazardlens.session import scratch_path
+from hazardlens.session import checkpointed, scratch_path
 
 
 def _count_columns(column: str, values: list[str]) -> str:
@@ -249,8 +249,9 @@ def _rollups(i: Inputs) -> Rollups:
             cubes.add(i.enriched.where(~late), ("events", 0))
             cubes.add(i.enriched.where(late), ("events", 1))
             cubes.add(i.enriched.where(late), ("events", 1))       # a replay adds nothing
-            cubes.add(i.enriched.where(F.to_date("ts") == _REPLACED))
-            cubes.replace_days(i.enriched, [_REPLACED])
+            day = checkpointed(i.enriched.where(F.to_date("ts") == _REPLACED).select(*CUBE_INPUTS))
+            cubes.add(day)
+            cubes.replace_days(day, [_REPLACED])
             cubes.tidy()
             _ROLLUPS[key] = path
     return Rollups(i.spark, _ROLLUPS[key])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators import explore as X
 from hazardlens.operators import pages as P
+from hazardlens.operators import rollups as R
 from hazardlens.operators.rollups import Rollups
 from hazardlens.plans import hub as H
 
@@ -75,3 +76,15 @@ def test_reports_from_cubes(spark, inputs, folder):
             for k, report in enumerate(reports if step == "replaced" else reports[:1]):
                 assert figures(report(cubes.base(cube))) == figures(report(base)), (step, cube, k)
     assert figures(H.daily_totals(cubes.base("hours", days=7))) == figures(H.daily_totals(H.hub_base(enriched, days=7)))
+
+
+def test_replaced_days_compare_dates_first(spark, inputs, folder, monkeypatch):
+    made = []
+    monkeypatch.setattr(R, "checkpointed", lambda df: made.append(df) or df)
+    rollups = Rollups(spark, folder + "/cubes")
+    rollups.add(inputs.enriched)
+    before = {tuple(r) for r in H.daily_totals(rollups.base("hours")).collect()}
+    rollups.replace_days(inputs.enriched, ["2024-01-10", "no day", "2024-1-11"])
+    assert {tuple(r) for r in H.daily_totals(rollups.base("hours")).collect()} == before
+    condition = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "19732" in condition or "= 2024-01-10" in condition

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from hazardlens.functions import severity as S
 from hazardlens.functions.severity import with_severity
 from hazardlens.functions.sqlfuncs import register_sql_functions
 from hazardlens.functions.typing import rule_event_type
@@ -64,6 +65,22 @@ def test_severity_matches_plain_rule_on_random_text(spark):
     assert not wrong
 
 
+FOLDED = ["5 \u212aILLED", "7 mi\u017f\u017fing", "12 casualt\u0130es", "2000 d\u0131\u017fplaced", "20000 homele\u017fs", "de\u017ftroyed",
+          "w\u0130ped out", "ma\u017f\u017fIve DAMAGE", "red\u2003ALERT", "M\u2003\u0665", "\u0661\u0662 dead", "m7", "5 Fatalit\u0131es", None, ""]
+
+
+@pytest.mark.parametrize("ascii_words", [False, True])
+def test_what_patterns_need_is_in_every_match(spark, ascii_words):
+    texts = [t for text in [*FOLDED, *SEVERITY_CASES] for t in (text, text and f"\u0130\u03a3 {text.swapcase()}!")]
+    scored = with_severity(_texts(spark, texts), "text", ascii_words=ascii_words)
+    spelt = S._in_ascii if ascii_words else str
+    numbers = [S._number("text", spelt(p), kind) for p, kind in ((S.MAGNITUDE, "DOUBLE"), (S.DEATHS, "INT"), (S.DISPLACED, "INT"))]
+    plain = S._combine("text", *numbers, spelt=spelt)
+    assert scored.withColumn("plain", F.expr(plain)).where("NOT severity <=> plain").collect() == []
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") == 16 and plan.count("[mM]") == 1      # no pattern is tried on a text that cannot match
+
+
 @pytest.mark.parametrize("source,title,expected", [
     ("usgs", None, "earthquake"), ("USGS", "x", "earthquake"), ("eonet", "Camp Fire", "wildfire"),
     ("eonet", "Tropical Storm and flood", "storm"), ("eonet", "Flood of 1", "flood"), ("eonet", "Iceberg A", "other"),
